@@ -24,6 +24,9 @@ MARK_COLUMN = "translated_last_changed"
 # An area spans at most this many cells of its own step in each direction, plus one.
 _SPAN = 8
 _STEP = 4
+# Areas in cells are broadcast up to this size, counting so much per row and per point.
+BROADCAST_BYTES = 128 << 20
+_ROW_BYTES, _POINT_BYTES = 256, 16
 
 
 def link_watermark(links: DataFrame | None) -> datetime.datetime:
@@ -71,9 +74,7 @@ def _at(value: Column, step: Column) -> Column:
     return F.floor(value / step)
 
 
-def _area_cells(
-    areas: DataFrame, cell: float, level_of: dict[int, int], salts: int, whole_shapes: bool
-) -> DataFrame:
+def _area_cells(areas: DataFrame, cell: float, level_of: dict[int, int], whole_shapes: bool) -> DataFrame:
     """One row per area and cell, with the segments that can decide a point of that cell."""
     level = F.lit(0)
     if level_of:
@@ -95,13 +96,27 @@ def _area_cells(
         cells = cells.withColumn(
             "edges", F.filter("edges", lambda e: _at(F.greatest(e["x1"], e["x2"]), step) >= F.col("cx"))
         )
-    if salts > 1:
-        cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    else:
-        cells = cells.withColumn("salt", F.lit(0))
     return cells.drop("step")
 
 
+def _meet(placed: DataFrame, cells: DataFrame, whole_shapes: bool, salts: int | None) -> DataFrame:
+    """Objects and the areas of their cell.
+
+    The cells are broadcast when their measured size allows. Otherwise both sides are shuffled
+    on the cell and a share of it: each object has one share and each area is in all of them.
+    Spark's own estimate knows nothing of the cells an area makes, so it does not decide.
+    """
+    if salts is None:
+        points = F.size(G.vertices(F.col("outline"))) if whole_shapes else 2 * F.size("edges")
+        measured = cells.agg(F.count(F.lit(1)).alias("rows"), F.sum(points).alias("points")).first()
+        if _ROW_BYTES * measured["rows"] + _POINT_BYTES * (measured["points"] or 0) <= BROADCAST_BYTES:
+            return placed.join(F.broadcast(cells), ["level", "cx", "cy"])
+        salts = default_salts(placed)
+    shares = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    spread = placed.withColumn("salt", F.pmod(F.xxhash64("oid", "px", "py"), F.lit(salts)).cast("int"))
+    return spread.join(cells.withColumn("salt", shares).hint("merge"), ["level", "cx", "cy", "salt"])
+
+
 def default_salts(df: DataFrame) -> int:
     """Shares a crowded cell is split into; grows with the cluster, and areas are copied as often."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -131,21 +146,21 @@ def link_within(
       Set ``shapes=False`` for tables known to hold only points, and half of the plan goes away.
     - ``since_mark`` takes only objects changed later, and ``marker`` adds the row that carries the
       watermark of all objects to the next run (see ``link_watermark``).
-    - Objects are spread over ``salts`` shares of each cell by a hash of their id and place.
+    - ``salts`` forces a shuffled join that spreads the objects of a cell over so many shares, by a
+      hash of their id and place. By default small area tables are broadcast instead.
 
     Each pair occurs once: an area has one grid step and an object one cell of that step.
     """
-    salts = default_salts(objects) if salts is None else salts
     found_in = objects if since_mark is None else since(objects, since_mark, last_changed)
     box = F.col("box")
+    # No filter on missing geometry here: it would be pushed down and parse the text a second
+    # time, while a missing box makes no cell and a missing place joins with none.
     outlines = (
-        areas.filter(F.col(area_geometry).isNotNull())
-        .select(area_id, *carry, F.col(area_geometry).alias("outline"))
+        areas.select(area_id, *carry, F.col(area_geometry).alias("outline"))
         .withColumn("edges", G.edges(F.col("outline")))
         .withColumn("box", F.struct(*[c.alias(n) for n, c in G.bounds(F.col("outline")).items()]))
         .select("*", *[box[n].alias(n) for n in ("xmin", "xmax", "ymin", "ymax")])
         .drop("box")
-        .filter(F.col("xmin").isNotNull())
     )
     cell, level_of = _grid(outlines, cell)
     levels = _levels(level_of)
@@ -155,9 +170,7 @@ def link_within(
     placed = (
         found_in.select(F.col(object_id).alias("oid"), F.col(last_changed).alias("stamp"),
                         F.col(geometry).alias("shape"))
-        .filter(F.size(shape["parts"]) > 0)
         .withColumns({"px": anchor["x"], "py": anchor["y"]})
-        .withColumn("salt", F.pmod(F.xxhash64("oid", "px", "py"), F.lit(salts)).cast("int"))
         .withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels])))
     )
     step = _step(F.col("level"), levels, cell)
@@ -167,10 +180,9 @@ def link_within(
     links = None
     is_point = shape["type"] == "Point"
     for whole in ([False, True] if shapes else [False]):
-        cells = _area_cells(outlines.drop("edges" if whole else "outline"), cell, level_of, salts, whole)
+        cells = _area_cells(outlines.drop("edges" if whole else "outline"), cell, level_of, whole)
         some = placed.filter(~is_point) if whole else (placed.filter(is_point) if shapes else placed)
-        some = some if whole else some.drop("shape")
-        near = some.join(cells, ["level", "cx", "cy", "salt"]).filter(
+        near = _meet(some if whole else some.drop("shape"), cells, whole, salts).filter(
             F.col("px").between(F.col("xmin"), F.col("xmax")) & F.col("py").between(F.col("ymin"), F.col("ymax"))
         )
         if whole:

@@ -972,12 +972,13 @@ def commune_link_incremental(spark, sf_dir):
 WITH {_AREA_SQL},
 lines AS (SELECT c_custkey, (c_custkey * 7 % 241) / 4.0 AS px, (c_custkey * 11 % 37) / 4.0 AS py FROM customer)
 SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(s_suppkey AS VARCHAR) AS com_code
-FROM lines JOIN areas ON px >= x AND px < x + k AND py > y AND py + 0.5 <= y + 2 * k
-   OR (px >= x + k AND px < x + 2 * k AND px > x AND py > y AND py + 0.5 <= y + k)
-WHERE px > x
+FROM lines JOIN areas ON py >= y AND (
+     (px > x AND px < x + k AND py + 0.5 <= y + 2 * k)
+  OR (px = x + k AND py < y + k AND py + 0.5 <= y + 2 * k)
+  OR (px > x + k AND px < x + 2 * k AND py + 0.5 <= y + k))
 """)
 def shape_link(spark, sf_dir):
-    """Upright lines of half a unit that lie within an area."""
+    """Upright lines of half a unit within an area: they may touch its boundary but not follow it."""
     key = F.col("c_custkey")
     x, y = key * 7 % 241 / 4, key * 11 % 37 / 4
     wkt = F.format_string("LINESTRING(%s %s,%s %s)", text(x), text(y), text(x), text(y + 0.5))
