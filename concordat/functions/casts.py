@@ -26,6 +26,18 @@ _DATE_TOKENS = {"YYYY": "yyyy", "YY": "yy", "MM": "MM", "DD": "dd"}
 _TOKEN = re.compile(r'"[^"]*"|YYYY|YY|MM|DD|HH24|HH|MI|SS|MS|US|S+|.', re.IGNORECASE)
 # Any prefix of a clock time, after either separator.
 _CLOCK = "".join(f"[{sep}HH:mm[:ss[.SSSSSSSSS]]]" for sep in ("'T'", " "))
+_CLOCK_SHAPE = r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?"
+_INTEGER_SHAPE = r"^[+-]?\d+$"
+_NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
+def _date_part(template: str) -> list[str]:
+    """Tokens of a template up to its last date field."""
+    tokens = _TOKEN.findall(template)
+    last = max((i for i, t in enumerate(tokens) if t.upper() in _DATE_TOKENS), default=-1)
+    if last < 0:
+        raise ValueError(f"no date field in template {template!r}")
+    return tokens[: last + 1]
 
 
 def date_pattern(template: str) -> str:
@@ -34,12 +46,8 @@ def date_pattern(template: str) -> str:
     The part up to the last date field is kept as written; whatever clock part the
     template names becomes optional, so ``2021-01-02`` and ``2021-01-02T10:00`` both match.
     """
-    tokens = _TOKEN.findall(template)
-    last = max((i for i, t in enumerate(tokens) if t.upper() in _DATE_TOKENS), default=-1)
-    if last < 0:
-        raise ValueError(f"no date field in template {template!r}")
     head = []
-    for token in tokens[: last + 1]:
+    for token in _date_part(template):
         if token.upper() in _DATE_TOKENS:
             head.append(_DATE_TOKENS[token.upper()])
         elif token.startswith('"') or token.isalpha():
@@ -50,13 +58,24 @@ def date_pattern(template: str) -> str:
     return "".join(head) + _CLOCK
 
 
+def date_shape(template: str) -> str:
+    """Regular expression that any text in a template's format matches."""
+    head = [
+        rf"\d{{{len(token)}}}" if token.upper() in _DATE_TOKENS else re.escape(token.strip('"'))
+        for token in _date_part(template)
+    ]
+    return "^" + "".join(head) + _CLOCK_SHAPE + "$"
+
+
 def blank_to_null(c: Column) -> Column:
     return F.when(F.length(F.trim(c)) > 0, c)
 
 
 def to_timestamp(c: Column, formats=DATE_FORMATS) -> Column:
+    """First format that parses. A format is tried on text of its shape only, because a failed
+    parse costs an exception and most text fits none or one of the formats."""
     text = F.trim(c.cast("string"))
-    tries = [F.try_to_timestamp(text, F.lit(date_pattern(f))) for f in formats]
+    tries = [F.when(text.rlike(date_shape(f)), F.try_to_timestamp(text, F.lit(date_pattern(f)))) for f in formats]
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 
@@ -64,12 +83,19 @@ def to_date(c: Column, formats=DATE_FORMATS) -> Column:
     return to_timestamp(c, formats).cast("date")
 
 
+def to_number(c: Column, target: T.DataType) -> Column:
+    """As with dates, text that is no number is told by its shape and not by an exception."""
+    text = F.trim(c.cast("string"))
+    shape = _INTEGER_SHAPE if isinstance(target, T.IntegralType) else _NUMBER_SHAPE
+    return F.when(text.rlike(shape), text.try_cast(target))
+
+
 def to_numeric(c: Column) -> Column:
-    return F.trim(c.cast("string")).try_cast(DECIMAL)
+    return to_number(c, DECIMAL)
 
 
 def to_integer(c: Column) -> Column:
-    return F.trim(c.cast("string")).try_cast("int")
+    return to_number(c, T.IntegerType())
 
 
 def to_boolean(c: Column, strict: bool = False) -> Column:
@@ -113,7 +139,7 @@ def lenient(
     if is_number(target):
         if is_number(source):
             return c if source == target else c.try_cast(target)
-        return F.trim(c.cast("string")).try_cast(target)
+        return to_number(c, target)
     if is_text(target):
         return c if is_text(source) else c.cast("string")
     return c if source == target else c.cast("string").try_cast(target)

@@ -304,12 +304,16 @@ def vertices(geometry: Column) -> Column:
 
 
 def edges(geometry: Column) -> Column:
-    """All segments of all rings, as ``struct<x1,y1,x2,y2>``."""
+    """All segments of all rings, as ``struct<x1,y1,x2,y2>`` that run upwards (``y1 <= y2``)."""
 
     def of_ring(ring: Column) -> Column:
         def segment(p: Column, i: Column) -> Column:
             q = F.get(ring, i + 1)
-            return F.struct(p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2"))
+            up = p["y"] <= q["y"]
+            ends = {"x1": ("x", 0), "y1": ("y", 0), "x2": ("x", 1), "y2": ("y", 1)}
+            return F.struct(
+                *[F.when(up, (p, q)[k][a]).otherwise((q, p)[k][a]).alias(n) for n, (a, k) in ends.items()]
+            )
 
         return F.transform(F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0))), segment)
 
@@ -323,15 +327,16 @@ def bounds(geometry: Column) -> dict[str, Column]:
 
 
 def _turn(e: Column, x: Column, y: Column) -> Column:
-    """Positive when (x, y) lies left of the directed segment, zero when on its line."""
+    """Positive when (x, y) lies left of the upward segment, zero when on its line."""
     return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
 
 
 def _on_segment(e: Column, x: Column, y: Column) -> Column:
     return (
-        (_turn(e, x, y) == 0)
+        (e["y1"] <= y)
+        & (y <= e["y2"])
         & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+        & (_turn(e, x, y) == 0)
     )
 
 
@@ -340,16 +345,8 @@ def _odd_crossings(segments: Column, x: Column, y: Column) -> Column:
 
     No division, so horizontal segments need no special case.
     """
-    return (
-        F.size(
-            F.filter(
-                segments,
-                lambda e: ((e["y1"] > y) != (e["y2"] > y)) & ((_turn(e, x, y) > 0) == (e["y2"] > e["y1"])),
-            )
-        )
-        % 2
-        == 1
-    )
+    crossed = F.filter(segments, lambda e: (e["y1"] <= y) & (y < e["y2"]) & (_turn(e, x, y) > 0))
+    return F.size(crossed) % 2 == 1
 
 
 def on_boundary(segments: Column, x: Column, y: Column) -> Column:

@@ -202,23 +202,25 @@ def cast_report(
 ) -> DataFrame:
     """Per column: rows, blanks, values that parsed and values rejected, with the least rejected one.
 
-    All counts come from one aggregation over the table, so its size does not multiply by the
-    number of columns.
+    Each value is converted once, and all counts come from one aggregation over the table, so
+    its size does not multiply by the number of columns.
     """
-    aggregates, names = [], list(spec)
+    aggregates, names, judged = [], list(spec), []
     for i, name in enumerate(names):
         c = F.col(f"`{name}`")
         target = _type(spec[name])
         blank = c.isNull() | (F.length(F.trim(c.cast("string"))) == 0)
         parsed = casts.lenient(c, df.schema[name].dataType, target, formats, strict_boolean=True).isNotNull()
-        rejected = ~blank & ~parsed
-        aggregates += [
-            F.count_if(blank).alias(f"blank{i}"),
-            F.count_if(~blank & parsed).alias(f"parsed{i}"),
-            F.count_if(rejected).alias(f"rejected{i}"),
-            F.min(F.when(rejected, c.cast("string"))).alias(f"sample{i}"),
-        ]
-    counts = df.agg(F.count(F.lit(1)).alias("rows"), *aggregates)
+        judged.append(
+            F.struct(
+                c.cast("string").alias("text"),
+                F.when(blank, "blank").when(parsed, "parsed").otherwise("rejected").alias("verdict"),
+            ).alias(f"c{i}")
+        )
+        verdict = F.col(f"c{i}.verdict")
+        aggregates += [F.count_if(verdict == v).alias(f"{v}{i}") for v in ("blank", "parsed", "rejected")]
+        aggregates.append(F.min(F.when(verdict == "rejected", F.col(f"c{i}.text"))).alias(f"sample{i}"))
+    counts = df.select(*judged).agg(F.count(F.lit(1)).alias("rows"), *aggregates)
     lines = [
         F.struct(
             F.lit(name).alias("column"), F.col("rows"), F.col(f"blank{i}").alias("blank"),

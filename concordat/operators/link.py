@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,12 +43,21 @@ def _size_power() -> Column:
     return F.when(size > 0, F.ceil(F.log2(size))).cast("int")
 
 
-def _grid(areas: DataFrame, cell: float | None) -> tuple[float, dict[int, int]]:
-    """Base step, and the level of each size, from the histogram of area sizes.
+class _Grid(NamedTuple):
+    cell: float
+    level_of: dict[int, int]
+    bytes_bound: int
 
-    Sizes are powers of two, so only a few dozen counts reach the driver.
+
+def _grid(areas: DataFrame, cell: float | None) -> _Grid:
+    """Base step, the level of each size, and a bound on the size of all area cells.
+
+    It all comes from the histogram of area sizes. Sizes are powers of two, so only a few dozen
+    counts reach the driver.
     """
-    histogram = areas.groupBy(_size_power().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    histogram = areas.groupBy(_size_power().alias("p")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.size("edges")).alias("edges")
+    ).collect()
     counts = {r["p"]: r["n"] for r in histogram if r["p"] is not None}
     if cell is None:
         seen, median = 0, 0
@@ -55,8 +65,11 @@ def _grid(areas: DataFrame, cell: float | None) -> tuple[float, dict[int, int]]:
             seen, median = seen + counts[p], p
             if seen * 2 >= sum(counts.values()):
                 break
-        cell = 2.0**median / _STEP
-    return cell, {p: max(0, math.ceil(math.log(2.0**p / (cell * _SPAN), _STEP) - 1e-9)) for p in counts}
+        cell = 2.0**median / _SPAN
+    level_of = {p: max(0, math.ceil(math.log(2.0**p / (cell * _SPAN), _STEP) - 1e-9)) for p in counts}
+    # No ring has more points than twice its segments, nor an area more cells than its span squared.
+    per_area = sum(_ROW_BYTES * r["n"] + 2 * _POINT_BYTES * (r["edges"] or 0) for r in histogram)
+    return _Grid(cell, level_of, per_area * (_SPAN + 1) ** 2)
 
 
 def _levels(level_of: dict[int, int]) -> list[int]:
@@ -75,7 +88,10 @@ def _at(value: Column, step: Column) -> Column:
 
 
 def _area_cells(areas: DataFrame, cell: float, level_of: dict[int, int], whole_shapes: bool) -> DataFrame:
-    """One row per area and cell, with the segments that can decide a point of that cell."""
+    """One row per area and cell, with the segments that can decide a point of that cell.
+
+    ``edges`` is NULL where every point of the cell is inside.
+    """
     level = F.lit(0)
     if level_of:
         table = F.create_map(*[F.lit(v) for item in level_of.items() for v in item])
@@ -84,32 +100,46 @@ def _area_cells(areas: DataFrame, cell: float, level_of: dict[int, int], whole_s
     placed = areas.withColumn("level", level).withColumn("step", _step(F.col("level"), levels, cell))
     step = F.col("step")
     rows = placed.withColumn("cy", F.explode(F.sequence(_at(F.col("ymin"), step), _at(F.col("ymax"), step))))
-    if not whole_shapes:
-        band = lambda e: (
-            (_at(F.least(e["y1"], e["y2"]), step) <= F.col("cy"))
-            & (_at(F.greatest(e["y1"], e["y2"]), step) >= F.col("cy"))
-        )
-        rows = rows.withColumn("edges", F.filter("edges", band))
+    band = lambda e: (_at(e["y1"], step) <= F.col("cy")) & (_at(e["y2"], step) >= F.col("cy"))
+    rows = rows.withColumn("edges", F.filter("edges", band))
     cells = rows.withColumn("cx", F.explode(F.sequence(_at(F.col("xmin"), step), _at(F.col("xmax"), step))))
-    if not whole_shapes:
-        # A ray towards growing x meets nothing that ends left of the cell.
-        cells = cells.withColumn(
-            "edges", F.filter("edges", lambda e: _at(F.greatest(e["x1"], e["x2"]), step) >= F.col("cx"))
-        )
-    return cells.drop("step")
+    # A ray towards growing x meets nothing that ends left of the cell.
+    cells = cells.withColumn(
+        "edges", F.filter("edges", lambda e: _at(F.greatest(e["x1"], e["x2"]), step) >= F.col("cx"))
+    )
+    # A cell no segment comes near is either wholly inside or has nothing to do with the area.
+    margin = step * 1e-6
+    left, right = F.col("cx") * step - margin, (F.col("cx") + 1) * step + margin
+    low, high = F.col("cy") * step - margin, (F.col("cy") + 1) * step + margin
+    near = F.exists(
+        "edges",
+        lambda e: (e["y1"] <= high) & (e["y2"] >= low)
+        & (F.least(e["x1"], e["x2"]) <= right) & (F.greatest(e["x1"], e["x2"]) >= left),
+    )
+    middle = G.strictly_inside(F.col("edges"), (F.col("cx") + 0.5) * step, (F.col("cy") + 0.5) * step)
+    cells = cells.withColumn("cut", near).filter(F.col("cut") | middle)
+    if whole_shapes:
+        return cells.drop("step", "edges", "cut")
+    return cells.withColumn("edges", F.when(F.col("cut"), F.col("edges"))).drop("step", "cut")
+
 
+def _measure(cells: DataFrame, whole_shapes: bool) -> int:
+    points = F.size(G.vertices(F.col("outline"))) if whole_shapes else 2 * F.greatest(F.size("edges"), F.lit(0))
+    found = cells.agg(F.count(F.lit(1)).alias("rows"), F.sum(points).alias("points")).first()
+    return _ROW_BYTES * found["rows"] + _POINT_BYTES * (found["points"] or 0)
 
-def _meet(placed: DataFrame, cells: DataFrame, whole_shapes: bool, salts: int | None) -> DataFrame:
+
+def _meet(
+    placed: DataFrame, cells: DataFrame, bytes_bound: int, whole_shapes: bool, salts: int | None
+) -> DataFrame:
     """Objects and the areas of their cell.
 
-    The cells are broadcast when their measured size allows. Otherwise both sides are shuffled
+    The cells are broadcast when the bound on their size, or else their measured size, allows. Otherwise both sides are shuffled
     on the cell and a share of it: each object has one share and each area is in all of them.
     Spark's own estimate knows nothing of the cells an area makes, so it does not decide.
     """
     if salts is None:
-        points = F.size(G.vertices(F.col("outline"))) if whole_shapes else 2 * F.size("edges")
-        measured = cells.agg(F.count(F.lit(1)).alias("rows"), F.sum(points).alias("points")).first()
-        if _ROW_BYTES * measured["rows"] + _POINT_BYTES * (measured["points"] or 0) <= BROADCAST_BYTES:
+        if bytes_bound <= BROADCAST_BYTES or _measure(cells, whole_shapes) <= BROADCAST_BYTES:
             return placed.join(F.broadcast(cells), ["level", "cx", "cy"])
         salts = default_salts(placed)
     shares = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
@@ -162,8 +192,8 @@ def link_within(
         .select("*", *[box[n].alias(n) for n in ("xmin", "xmax", "ymin", "ymax")])
         .drop("box")
     )
-    cell, level_of = _grid(outlines, cell)
-    levels = _levels(level_of)
+    grid = _grid(outlines, cell)
+    cell, levels = grid.cell, _levels(grid.level_of)
 
     shape = F.col("shape")
     anchor = F.get(F.get(F.get(shape["parts"], F.lit(0)), F.lit(0)), F.lit(0))
@@ -180,15 +210,17 @@ def link_within(
     links = None
     is_point = shape["type"] == "Point"
     for whole in ([False, True] if shapes else [False]):
-        cells = _area_cells(outlines.drop("edges" if whole else "outline"), cell, level_of, whole)
+        cells = _area_cells(outlines if whole else outlines.drop("outline"), cell, grid.level_of, whole)
         some = placed.filter(~is_point) if whole else (placed.filter(is_point) if shapes else placed)
-        near = _meet(some if whole else some.drop("shape"), cells, whole, salts).filter(
+        near = _meet(some if whole else some.drop("shape"), cells, grid.bytes_bound, whole, salts).filter(
             F.col("px").between(F.col("xmin"), F.col("xmax")) & F.col("py").between(F.col("ymin"), F.col("ymax"))
         )
         if whole:
             near = near.filter(G.contains(F.col("outline"), F.col("shape")))
         else:
-            near = near.filter(G.strictly_inside(F.col("edges"), F.col("px"), F.col("py")))
+            near = near.filter(
+                F.col("edges").isNull() | G.strictly_inside(F.col("edges"), F.col("px"), F.col("py"))
+            )
         pairs = near.select(F.col("oid").alias(object_id), *kept, F.col("stamp").alias(MARK_COLUMN))
         links = pairs if links is None else links.unionByName(pairs)
     if order_by:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from concordat.types import DECIMAL
+from concordat.functions.casts import to_numeric
 
 # Shares above which a column is recommended as not null or unique.
 NOT_NULL_SHARE, UNIQUE_SHARE = 0.9, 0.9
@@ -64,7 +64,7 @@ def profile(
     )
     values = pairs.groupBy("table_name", "column_name", "column_value").agg(F.count(F.lit(1)).alias("n"))
     value, n = F.col("column_value"), F.col("n")
-    number = F.trim(value).try_cast(DECIMAL).cast("double")
+    number = to_numeric(value).cast("double")
     length = F.length(value)
     stats = values.groupBy("table_name", "column_name").agg(
         F.sum(n).alias("table_rows"),

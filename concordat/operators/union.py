@@ -85,14 +85,14 @@ def _same_types(frames: Sequence[DataFrame]) -> list[DataFrame]:
     types: dict[str, set[str]] = defaultdict(set)
     for frame in frames:
         for field in frame.schema:
-            types[field.name].add(field.dataType.json())
+            types[field.name.lower()].add(field.dataType.json())
     mixed = {name for name, found in types.items() if len(found) > 1}
     if not mixed:
         return list(frames)
 
     def text(field: T.StructField) -> Column:
         c = F.col(f"`{field.name}`")
-        if field.name not in mixed:
+        if field.name.lower() not in mixed:
             return c
         nested = isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType))
         return (F.to_json(c) if nested else c.cast("string")).alias(field.name)
