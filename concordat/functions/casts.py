@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 import uuid as _uuid
 
 from pyspark.sql import Column
@@ -116,6 +117,21 @@ def to_text(c: Column) -> Column:
     return blank_to_null(c.cast("string"))
 
 
+def _accents() -> dict[str, str]:
+    """Accented Latin letters and their plain letter, by canonical decomposition."""
+    letters = (chr(i) for i in range(0xC0, 0x180))
+    return {c: d[0] for c in letters if len(d := unicodedata.normalize("NFD", c)) > 1}
+
+
+def fold_text(c: Column) -> Column:
+    """Upper case without accents, for comparing names."""
+    table = _accents()
+    plain = F.translate(c, "".join(table), "".join(table.values()))
+    for letter, spelled in (("œ", "oe"), ("Œ", "OE"), ("æ", "ae"), ("Æ", "AE"), ("ß", "ss")):
+        plain = F.replace(plain, F.lit(letter), F.lit(spelled))
+    return F.upper(plain)
+
+
 def lenient(
     c: Column,
     source: T.DataType,

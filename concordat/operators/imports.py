@@ -129,8 +129,13 @@ def plan_imports(
     holders = (
         staged.filter(F.col("table").isNotNull()).groupBy("schema", "table").agg(F.min("id").alias("__holder"))
     )
-    checked = staged.join(holders, ["schema", "table"], "left").withColumn(
-        "__collides", F.coalesce(F.col("id") > F.col("__holder"), F.lit(False))
+    # Resources without a table get a key of their own, else they would all meet in one task.
+    place = F.concat_ws(".", "schema", "table")
+    key = F.when(F.col("table").isNull(), F.concat(F.lit("/"), "id")).otherwise(place)
+    held = holders.select(place.alias("__place"), "__holder")
+    checked = (
+        staged.withColumn("__place", key).join(held, "__place", "left")
+        .withColumn("__collides", F.coalesce(F.col("id") > F.col("__holder"), F.lit(False)))
     )
 
     reader = _lookup(readers, F.col("format"))

@@ -20,7 +20,6 @@ TARGET_LABELS = {"test": "DONNEES D'EXEMPLE", "staging": "DONNEES DE DEVELOPPEME
 OPEN_ROLE, OPEN_TARGET = "kpi", "exemple"
 
 MANIFEST_KEYS = ("relation", "partition")
-ROWS_PER_FILE = 5_000_000
 
 
 def to_csv_frame(df: DataFrame, wkt: bool = False, prefix_regex: str | None = None) -> DataFrame:
@@ -146,8 +145,8 @@ def publish(
 ) -> DataFrame:
     """Write the partitions that changed since the last run as CSV, and return the manifest.
 
-    A partition is spread over files by its row count, so one very large owner is written by many
-    tasks and a small one makes a single file.
+    Rows are rebalanced by partition before the write: adaptive execution splits a very large
+    owner among many tasks and gathers small ones, so files have an even size.
     """
     spark = df.sparkSession
     root = path.rstrip("/")
@@ -167,12 +166,8 @@ def publish(
 
     part = "partition"
     key = F.lit("all") if published_by is None else F.coalesce(F.col(f"`{published_by}`").cast("string"), F.lit(""))
-    changed = manifest.filter(F.col("action") != "skip").select(
-        part, "resource_name", F.ceil(F.col("rows") / ROWS_PER_FILE).cast("int").alias("__files")
-    )
-    keyed = frame.withColumns({part: key, "__hash": row_hash(frame)}).join(changed, part)
-    spread = keyed.withColumn("__share", F.pmod(F.col("__hash"), F.col("__files")))
-    body = spread.repartition(part, "__share").drop("__files", "__hash", "__share")
+    changed = manifest.filter(F.col("action") != "skip").select(part, "resource_name")
+    body = frame.withColumn(part, key).join(changed, part).hint("rebalance", "resource_name", part)
     (
         body.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True)
         .partitionBy("resource_name", part).csv(root)

@@ -29,5 +29,8 @@ def owner_view(df: DataFrame, owner: str) -> DataFrame:
 
 
 def split_by_owner(df: DataFrame, path: str, owner: str = "data_owner_id", mode: str = "overwrite") -> None:
-    """Write one table partitioned by owner, in place of one view per owner."""
-    df.write.mode(mode).partitionBy(owner).parquet(path)
+    """Write one table partitioned by owner, in place of one view per owner.
+
+    Rebalancing first keeps tasks from each writing a file for every owner, and splits a large one.
+    """
+    df.hint("rebalance", owner).write.mode(mode).partitionBy(owner).parquet(path)

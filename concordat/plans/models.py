@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from concordat.functions import geometry as G
 from concordat.functions.casts import to_numeric
 from concordat.names import Names
-from concordat.operators.conform import strict_types
+from concordat.operators.conform import read_example_perimeters, strict_types
 from concordat.operators.incremental import run_incremental
 from concordat.operators.joins import sized
 from concordat.operators.jsonld import to_jsonld
@@ -25,12 +25,22 @@ from concordat.sources.tables import VersionedTable
 from concordat.types import DECIMAL, GEOMETRY
 
 PERIMETER = T.StructType([T.StructField("geom", GEOMETRY)])
+# Example outlines, which show what a perimeter file holds.
+PERIMETER_EXAMPLES = (
+    "POLYGON((3.8 48.5, 3.8 48.6, 3.9 48.6, 3.8 48.5))",
+    "POLYGON((3.6 48.3, 3.6 48.4, 3.7 48.4, 3.6 48.3))",
+)
 # Reference columns of the population and demography sources.
 POPULATION_KEY, POPULATION = "Code", "Population municipale 2019"
 DEMOGRAPHY_KEY, DEMOGRAPHY = "CODGEO", "Population"
 PERIMETER_ROLE = "perimetre"
 
 
+def perimeter_example(spark: SparkSession) -> DataFrame:
+    """Example perimeters, parsed; their schema is the definition other perimeters follow."""
+    return read_example_perimeters(spark.createDataFrame([(w,) for w in PERIMETER_EXAMPLES], "geom string"))
+
+
 def perimeters_parsed(
     spark: SparkSession, registry: DataFrame, tables: RawTables, use_case: str | None = None, names: Names = Names()
 ) -> DataFrame:

@@ -462,22 +462,22 @@ def lenient_cast(spark, sf_dir):
 
 
 @query("cast_report", _RAW_SQL + """
-SELECT 'num' AS "column", count(*) AS rows, count_if(num IS NULL OR trim(num) = '') AS blank,
-       count_if(o_orderkey % 8 IN (0, 1, 6, 7)) AS parsed, count_if(o_orderkey % 8 IN (2, 5)) AS rejected,
+SELECT 'num' AS "column", count(*) AS rows, CAST(count_if(num IS NULL OR trim(num) = '') AS BIGINT) AS blank,
+       CAST(count_if(o_orderkey % 8 IN (0, 1, 6, 7)) AS BIGINT) AS parsed, CAST(count_if(o_orderkey % 8 IN (2, 5)) AS BIGINT) AS rejected,
        min(CASE WHEN o_orderkey % 8 IN (2, 5) THEN num END) AS sample_reject FROM raw
 UNION ALL
-SELECT 'int_', count(*), 0, count_if(o_orderkey % 4 IN (0, 2)), count_if(o_orderkey % 4 IN (1, 3)),
+SELECT 'int_', count(*), CAST(0 AS BIGINT), CAST(count_if(o_orderkey % 4 IN (0, 2)) AS BIGINT), CAST(count_if(o_orderkey % 4 IN (1, 3)) AS BIGINT),
        min(CASE WHEN o_orderkey % 4 IN (1, 3) THEN int_ END) FROM raw
 UNION ALL
-SELECT 'flag', count(*), count_if(o_orderkey % 10 IN (6, 7)),
-       count_if(o_orderkey % 10 IN (0, 1, 2, 3, 4, 5, 8) OR (o_orderkey % 10 = 9 AND flag = 'F')),
-       count_if(o_orderkey % 10 = 9 AND flag <> 'F'),
+SELECT 'flag', count(*), CAST(count_if(o_orderkey % 10 IN (6, 7)) AS BIGINT),
+       CAST(count_if(o_orderkey % 10 IN (0, 1, 2, 3, 4, 5, 8) OR (o_orderkey % 10 = 9 AND flag = 'F')) AS BIGINT),
+       CAST(count_if(o_orderkey % 10 = 9 AND flag <> 'F') AS BIGINT),
        min(CASE WHEN o_orderkey % 10 = 9 AND flag <> 'F' THEN flag END) FROM raw
 UNION ALL
-SELECT 'label', count(*), count_if(o_orderkey % 4 <> 3), count_if(o_orderkey % 4 = 3), 0, NULL FROM raw
+SELECT 'label', count(*), CAST(count_if(o_orderkey % 4 <> 3) AS BIGINT), CAST(count_if(o_orderkey % 4 = 3) AS BIGINT), CAST(0 AS BIGINT), NULL FROM raw
 UNION ALL
-SELECT 'day', count(*), count_if(o_orderkey % 6 = 4), count_if(o_orderkey % 6 NOT IN (3, 4)),
-       count_if(o_orderkey % 6 = 3), min(CASE WHEN o_orderkey % 6 = 3 THEN day END) FROM raw
+SELECT 'day', count(*), CAST(count_if(o_orderkey % 6 = 4) AS BIGINT), CAST(count_if(o_orderkey % 6 NOT IN (3, 4)) AS BIGINT),
+       CAST(count_if(o_orderkey % 6 = 3) AS BIGINT), min(CASE WHEN o_orderkey % 6 = 3 THEN day END) FROM raw
 """)
 def cast_report(spark, sf_dir):
     return conform.cast_report(_raw_orders(spark, sf_dir), _SPEC)
@@ -795,7 +795,7 @@ SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS table_rows, count(
   count(DISTINCT v) / count(*) >= 0.9 AS is_recommended_unique_column,
   min(v) AS min_value, max(v) AS max_value, round(avg(try_cast(v AS DOUBLE)), 4) AS avg_value,
   (SELECT v FROM (SELECT v, count(*) AS n FROM p WHERE v IS NOT NULL GROUP BY v) ORDER BY n DESC, v DESC LIMIT 1) AS most_frequent_value,
-  min(length(v)) AS min_length, max(length(v)) AS max_length, round(avg(length(v))) AS avr_length, {i} AS ordinal_position
+  CAST(min(length(v)) AS INTEGER) AS min_length, CAST(max(length(v)) AS INTEGER) AS max_length, round(avg(length(v))) AS avr_length, {i} AS ordinal_position
 FROM p"""
     parts = []
     for t, columns in _PROFILED.items():

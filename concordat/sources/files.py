@@ -32,13 +32,18 @@ def file_encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
 
 def read_delimited(
-    spark: SparkSession, path: str | Sequence[str], sep: str | None = None, multi_line: bool = False
+    spark: SparkSession,
+    path: str | Sequence[str],
+    sep: str | None = None,
+    multi_line: bool = False,
+    encoding: str | None = None,
 ) -> DataFrame:
     """One resource of delimited text, in one file or several with the same header.
 
     The separator comes from the first line, a byte order mark is dropped, and files that are not
-    UTF-8 are read as Latin-1. ``multi_line`` allows line breaks in quotes, at the price that a
-    file is no longer split among tasks.
+    UTF-8 are read as Latin-1; naming the ``encoding`` saves the pass over the files that finds
+    out. ``multi_line`` allows line breaks in quotes, at the price that a file is no longer split
+    among tasks.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if sep is None:
@@ -54,6 +59,8 @@ def read_delimited(
         )
         return df.toDF(*[c.removeprefix(BOM) for c in df.columns])
 
+    if encoding is not None:
+        return read(paths, encoding)
     encodings = file_encodings(spark, paths).collect()
     foreign = sorted(r["path"] for r in encodings if not r["utf8"])
     clean = sorted(r["path"] for r in encodings if r["utf8"])

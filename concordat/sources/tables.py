@@ -50,8 +50,11 @@ def write_partitions(batch: DataFrame, path: str, keys: Sequence[str]) -> None:
     group, so they are added. A run that is repeated after a failure replaces the same groups.
     """
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    replacing = batch.filter(known).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    replacing.partitionBy(*keys).parquet(path)
+    # Rebalancing makes few files per group and splits a very large group among tasks.
+    replacing = batch.filter(known).hint("rebalance", *keys)
+    (
+        replacing.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    )
     # limit(1) stops at the first row found.
     unknown = batch.filter(~known)
     if unknown.limit(1).count():
@@ -96,10 +99,11 @@ class VersionedTable:
     def commit(self, df: DataFrame, mark_column: str | None = None) -> None:
         last = self._last()
         version = 0 if last is None else last["version"] + 1
-        writer = df.write.mode("overwrite")
         if self.partitions:
-            writer = writer.partitionBy(*self.partitions)
-        writer.parquet(f"{self.path}/data/v{version}")
+            writer = df.hint("rebalance", *self.partitions).write.partitionBy(*self.partitions)
+        else:
+            writer = df.write
+        writer.mode("overwrite").parquet(f"{self.path}/data/v{version}")
         self._append(version, df.schema.json(), mark_column)
 
     def log(self, mark_column: str | None = None) -> None:

@@ -64,3 +64,8 @@ def test_uuid_matches_the_standard_library(spark):
     names = ["", "a", "canalisations_123_1", "été à Nîmes", "日本", "x" * 200, None] + [f"n{i}" for i in range(50)]
     got = values(spark, names, lambda c: casts.uuid_v5(ns, c))
     assert got == [None if n is None else str(uuid.uuid5(ns, n)) for n in names]
+
+
+def test_fold_text(spark):
+    assert values(spark, ["Nîmes", "L'Haÿ-les-Roses", "Œuilly", None], casts.fold_text) == [
+        "NIMES", "L'HAY-LES-ROSES", "OEUILLY", None]

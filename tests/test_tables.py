@@ -188,6 +188,13 @@ def test_communes_and_regions(spark, tmp_path):
     assert models.regions_standard(regions, str(tmp_path / "r")).count() == 2
 
 
+def test_perimeter_example_is_the_definition(spark):
+    from concordat.operators.conform import definition
+    example = models.perimeter_example(spark)
+    assert [r.geom.srid for r in example.collect()] == [2154, 2154]
+    assert definition(example).schema == models.PERIMETER
+
+
 def test_perimeters(spark, tmp_path):
     from concordat.sources.raw import FrameTables
     names = Names("ABC_")
