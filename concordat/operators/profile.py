@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concordat.functions.casts import to_numeric
+from concordat.operators.union import fold_union
 
 # Shares above which a column is recommended as not null or unique.
 NOT_NULL_SHARE, UNIQUE_SHARE = 0.9, 0.9
@@ -21,25 +21,30 @@ def _text(field: T.StructField) -> Column:
     return F.to_json(c) if nested else c.cast("string")
 
 
-def unpivot(df: DataFrame) -> DataFrame:
-    """``(column_name, column_value)``, values as text, of every column without a dash in its name."""
-    pairs = [
-        F.struct(F.lit(f.name).alias("column_name"), _text(f).alias("column_value"))
-        for f in df.schema
-        if f.name and "-" not in f.name
-    ]
-    return df.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*")
+def unpivot(df: DataFrame, first: int = 0) -> DataFrame:
+    """``(column_number, column_value)``, values as text, of every column.
+
+    Numbers count from ``first``; unlike names they group and sort as plain integers.
+    """
+    cells = [c for i, f in enumerate(df.schema) for c in (F.lit(first + i), _text(f))]
+    return df.select(F.stack(F.lit(len(df.columns)), *cells).alias("column_number", "column_value"))
+
+
+def _profiled(df: DataFrame) -> DataFrame:
+    """Only named columns without a dash in their name are profiled."""
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c and "-" not in c])
 
 
 def column_metadata(spark: SparkSession, tables: Mapping[str, DataFrame], catalog: str, schema: str) -> DataFrame:
+    described = [(table, f, i) for table, df in tables.items() for i, f in enumerate(df.schema, 1)]
+    profiled = [d for d in described if d[1].name and "-" not in d[1].name]
     rows = [
-        (catalog, schema, table, f.name, i, "YES" if f.nullable else "NO", f.dataType.simpleString())
-        for table, df in tables.items()
-        for i, f in enumerate(df.schema, 1)
+        (n, catalog, schema, table, f.name, i, "YES" if f.nullable else "NO", f.dataType.simpleString())
+        for n, (table, f, i) in enumerate(profiled)
     ]
     return spark.createDataFrame(
         rows,
-        "table_catalog string, table_schema string, table_name string, column_name string, "
+        "column_number int, table_catalog string, table_schema string, table_name string, column_name string, "
         "ordinal_position int, is_nullable string, data_type string",
     )
 
@@ -56,17 +61,19 @@ def profile(
 
     Equal values are counted first, partially in each map task, and columns are summed up from
     these counts. So no task ever holds the distinct values of a column, and exact distinct
-    counts and the most frequent value cost one shuffle of distinct values.
+    counts and the most frequent value cost one shuffle of distinct values. The broadcast side has
+    one row per column.
     """
-    pairs = reduce(
-        DataFrame.unionByName,
-        [unpivot(df).select(F.lit(name).alias("table_name"), "*") for name, df in tables.items()],
-    )
-    values = pairs.groupBy("table_name", "column_name", "column_value").agg(F.count(F.lit(1)).alias("n"))
+    frames, first = [], 0
+    for df in map(_profiled, tables.values()):
+        if df.columns:
+            frames.append(unpivot(df, first))
+            first += len(df.columns)
+    values = fold_union(frames).groupBy("column_number", "column_value").agg(F.count(F.lit(1)).alias("n"))
     value, n = F.col("column_value"), F.col("n")
     number = to_numeric(value).cast("double")
     length = F.length(value)
-    stats = values.groupBy("table_name", "column_name").agg(
+    stats = values.groupBy("column_number").agg(
         F.sum(n).alias("table_rows"),
         F.count(value).alias("count_distinct_values"),
         F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).cast("bigint").alias("count_nulls"),
@@ -87,7 +94,7 @@ def profile(
         }
     )
     metadata = column_metadata(spark, tables, catalog, schema)
-    return shares.join(F.broadcast(metadata), ["table_name", "column_name"], "left").select(
+    return shares.join(F.broadcast(metadata), "column_number").select(
         "table_catalog", "table_schema", "table_name", "column_name",
         F.coalesce(F.col("is_nullable") != "YES", F.lit(True)).alias("is_not_nullable_column"),
         (F.col("pct_not_null") > not_null_share).alias("is_recommended_not_nullable_column"),
