@@ -95,6 +95,9 @@ def to_numeric(c: Column) -> Column:
     return to_number(c, DECIMAL)
 
 
+to_decimal = to_numeric
+
+
 def to_integer(c: Column) -> Column:
     return to_number(c, T.IntegerType())
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concordat.functions import geometry as G
-from concordat.functions.casts import namespace_uuid
+from concordat.functions.casts import fold_text, namespace_uuid
 from concordat.operators import (
     catalog, conform, dedupe, dictionary, imports, incremental, jsonld, keys, kpi, link, meta, profile, publish,
     registry, union,
@@ -391,16 +391,29 @@ def latest_by_key(spark, sf_dir):
 @query("stream_upsert", _LATEST_SQL)
 def stream_upsert(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
-    changes = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 1)
-        .parquet(sf_dir)
-    )
+    # As a pattern, the table may be one file or a folder of files.
+    changes = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf_dir}/events.parque[t]")
     path = shared_dir(spark, "latest")
     upsert.stream_latest_by_key(changes, path, "user_id", ["ts", "event_id"], f"{path}-progress").awaitTermination()
     latest = upsert.read_latest(spark, path, "user_id", ["ts", "event_id"])
     return latest.select("user_id", "event_id", "event_type", F.round("value", 6).alias("value"))
 
 
+@query("stream_compacted", _LATEST_SQL)
+def stream_compacted(spark, sf_dir):
+    """The same stream landed as two batches, the first of which was folded into a base."""
+    events = table(spark, sf_dir, "events")
+    landing, path = shared_dir(spark, "landing"), shared_dir(spark, "latest")
+    for rest in (1, 0):
+        events.filter(F.col("event_id") % 2 == rest).write.parquet(f"{landing}/half{rest}")
+        changes = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(landing)
+        upsert.stream_latest_by_key(changes, path, "user_id", ["ts", "event_id"], f"{path}-progress").awaitTermination()
+        if rest:
+            upsert.compact(spark, path, "user_id", ["ts", "event_id"])
+    latest = upsert.read_latest(spark, path, "user_id", ["ts", "event_id"])
+    return latest.select("user_id", "event_id", "event_type", F.round("value", 6).alias("value"))
+
+
 # --- conversion ---------------------------------------------------------------------------
 
 _RAW_SQL = """
@@ -461,6 +474,14 @@ def lenient_cast(spark, sf_dir):
     return typed.withColumns({"num": F.round(F.col("num").cast("double"), 6), "day": text("day")})
 
 
+@query("text_folding", """
+SELECT p_partkey, upper(p_name) AS folded FROM part
+""")
+def text_folding(spark, sf_dir):
+    accented = F.translate("p_name", "aeiou", "âéîöÙ")
+    return table(spark, sf_dir, "part").select("p_partkey", fold_text(accented).alias("folded"))
+
+
 @query("cast_report", _RAW_SQL + """
 SELECT 'num' AS "column", count(*) AS rows, CAST(count_if(num IS NULL OR trim(num) = '') AS BIGINT) AS blank,
        CAST(count_if(o_orderkey % 8 IN (0, 1, 6, 7)) AS BIGINT) AS parsed, CAST(count_if(o_orderkey % 8 IN (2, 5)) AS BIGINT) AS rejected,
@@ -523,7 +544,7 @@ def _part_dictionary(spark, sf_dir) -> DataFrame:
         rows(types.filter(kind != "PROMO"), "type", kind, F.substring(kind, 1, 3)),
         rows(types, "marque", kind, F.lit("X")),
         rows(brands, "marque", brand, F.regexp_extract(brand, r"(\d+)$", 1)),
-        rows(types.limit(1), "libelle", F.lit("p_name"), F.lit(None).cast("string")),
+        rows(part.agg(F.max("p_type")), "libelle", F.lit("p_name"), F.lit(None).cast("string")),
     ]
     return union.fold_union(coded)
 
@@ -1052,6 +1073,53 @@ def commune_enrich(spark, sf_dir):
     )
 
 
+@query("perimeters_parsed", f"""
+WITH {_AREA_SQL}
+SELECT 'commun.apcom_raw_perimetre_' || s_suppkey % 3 AS import_table, 'o' || s_suppkey % 3 AS data_owner_id, 2154 AS srid,
+       'POLYGON((' || printf('%g %g,%g %g,%g %g,%g %g,%g %g,%g %g,%g %g', x, y, x + 2 * k, y, x + 2 * k, y + k, x + k, y + k,
+       x + k, y + 2 * k, x, y + 2 * k, x, y) || '))' AS geom
+FROM (SELECT s_suppkey, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, CAST(k AS DOUBLE) AS k FROM areas)
+""")
+def perimeters_parsed(spark, sf_dir):
+    """Outlines of three owners, each under another column name."""
+    rows = conform.render_geometry(_areas(spark, sf_dir), "geometry", "wkt").withColumn(
+        "owner", F.col("com_code").cast("long") % 3)
+    columns = ("geom", "Geom", "geometrie")
+    frames = {
+        f"commun.apcom_raw_perimetre_{i}": rows.filter(F.col("owner") == i).select(F.col("geometry").alias(name), "com_name")
+        for i, name in enumerate(columns)
+    }
+    at = F.lit("2022-01-01T00:00:00")
+    known = rows.groupBy("owner").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("apcom").alias("CAS_USAGE"), F.lit("perimetre").alias("ROLE"), F.lit("perimetre").alias("SOURCE_NOM"),
+        F.lit("prod").alias("TARGET"), F.lit("success").alias("status"), F.lit("commun").alias("schema"),
+        F.concat(F.lit("apcom_raw_perimetre_"), text("owner")).alias("table"), F.lit("apcom").alias("use_case_prefix"),
+        F.concat(F.lit("o"), text("owner")).alias("data_owner_id"), F.lit("Org").alias("org_name"),
+        at.alias("last_changed"), at.alias("added"), at.alias("removed"), at.alias("imported"),
+    )
+    done = models.perimeters_parsed(spark, known, FrameTables(frames), "apcom")
+    return done.select("import_table", "data_owner_id", F.col("geom.srid").alias("srid"), G.to_wkt(F.col("geom")).alias("geom"))
+
+
+@query("regions_standard", """
+SELECT CAST(c_custkey AS VARCHAR) AS reg_code, c_custkey % 4 = 0 AS renewed,
+       round(-5 + (c_custkey * 37 % 1400) / 100.0, 6) AS lon, 4326 AS srid, 2154 AS shape_srid FROM customer
+""")
+def regions_standard(spark, sf_dir):
+    """Regions stored with their centre and shape, a quarter of them renewed by a second run."""
+    rows = _communes(spark, sf_dir).select(
+        F.col("com_code").alias("reg_code"), "geo_point_2d", "geometry", F.lit(False).alias("renewed"),
+        F.to_timestamp_ntz(F.lit("2021-01-01 00:00:00")).alias("last_changed"))
+    newer = rows.filter(F.col("reg_code").cast("long") % 4 == 0).withColumns(
+        {"renewed": F.lit(True), "last_changed": F.to_timestamp_ntz(F.lit("2022-01-01 00:00:00"))})
+    path = shared_dir(spark, "regions")
+    models.regions_standard(rows, path)
+    done = models.regions_standard(newer, path)
+    return done.select(
+        "reg_code", "renewed", F.round(F.col("geometry_center.parts")[0][0][0]["x"], 6).alias("lon"),
+        F.col("geometry_center.srid").alias("srid"), F.col("geometry_shape_2154.srid").alias("shape_srid"))
+
+
 @query("perimeters", """
 WITH newer AS (SELECT * FROM supplier WHERE s_suppkey % 5 = 0)
 SELECT CAST(s_nationkey AS VARCHAR) AS data_owner_id, s_name AS name, 'apcom' AS use_case FROM newer
@@ -1176,3 +1244,39 @@ def geojson_files(spark, sf_dir):
     table(spark, sf_dir, "customer").select(feature.alias("value")).write.text(path)
     done = files.read_geojson(spark, path)
     return done.select("id", "nom", F.round(F.col("geometry.parts")[0][0][0]["x"], 6).alias("x"))
+
+
+@query("import_end_to_end", """
+SELECT 'appuiscommuns.apcom_raw_commandes_' || lower(o_orderstatus) AS import_table, CAST(o_orderkey AS VARCHAR) AS numero,
+       CAST(o_custkey AS VARCHAR) AS client, lower(o_orderstatus) AS data_owner_id FROM orders
+UNION ALL
+SELECT 'error', count(DISTINCT o_orderstatus) || '', 'unsupported format', NULL FROM orders
+""")
+def import_end_to_end(spark, sf_dir):
+    """Files of three owners are catalogued, planned, loaded, reported and unioned."""
+    orders, files_at, raw = table(spark, sf_dir, "orders"), shared_dir(spark, "files"), shared_dir(spark, "raw")
+    statuses = ("F", "O", "P")
+    for status in statuses:
+        orders.filter(F.col("o_orderstatus") == status).select(
+            F.col("o_orderkey").alias("numero"), F.col("o_custkey").alias("client")
+        ).write.csv(f"{files_at}/{status}", header=True, sep=";")
+    at = F.to_timestamp_ntz(F.lit("2022-01-01 00:00:00"))
+    owner = F.col("o_orderstatus")
+    known = orders.groupBy(owner).agg(F.count(F.lit(1)).alias("n"))
+    resources = known.withColumn("format", F.explode(F.array(F.lit("csv"), F.lit("pdf")))).select(
+        F.concat_ws("-", owner, "format").alias("id"), F.concat_ws(".", owner, "format").alias("name"), owner.alias("ds_id"),
+        owner.alias("ds_name"), owner.alias("ds_title"), at.alias("ds_metadata_created"), at.alias("ds_metadata_modified"),
+        F.lit(None).cast("timestamp_ntz").alias("last_modified"), owner.alias("org_id"), owner.alias("org_name"),
+        owner.alias("org_title"), F.lit("a@b").alias("u_email"), F.concat(F.lit(f"{files_at}/"), owner).alias("url"),
+        F.lit("apcom").alias("cas_usage"), F.lit("source").alias("role"),
+        F.when(F.col("format") == "csv", "commandes").otherwise("autre").alias("source_nom"),
+        F.lit(None).cast("string").alias("target"), owner.alias("siren"), "format",
+    )
+    state = spark.createDataFrame([], "resource_key string, timestamp string, status string")
+    outcomes = files.load_resources(spark, imports.plan_imports(resources, state), raw)
+    report = imports.plan_imports(resources, state, outcomes=outcomes)
+    done = union.union_by_name(spark, report, ParquetTables(spark, raw), "commandes", "apcom")
+    failed = report.filter("status = 'error'").agg(F.count(F.lit(1)).alias("n"), F.max("messages").alias("m"))
+    return done.select("import_table", "numero", "client", "data_owner_id").unionByName(
+        failed.select(F.lit("error").alias("import_table"), text("n").alias("numero"),
+                      F.get_json_object("m", "$[0].text").alias("client"), F.lit(None).cast("string").alias("data_owner_id")))
