@@ -23,65 +23,71 @@ DATE_FORMATS = (
 TRUE_WORDS = ("t", "tr", "tru", "true", "y", "ye", "yes", "on", "1", "oui")
 FALSE_WORDS = ("f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0", "non")
 
-_DATE_TOKENS = {"YYYY": "yyyy", "YY": "yy", "MM": "MM", "DD": "dd"}
+_DATE_FIELDS = ("YYYY", "YY", "MM", "DD")
 _TOKEN = re.compile(r'"[^"]*"|YYYY|YY|MM|DD|HH24|HH|MI|SS|MS|US|S+|.', re.IGNORECASE)
 # Any prefix of a clock time, after either separator.
-_CLOCK = "".join(f"[{sep}HH:mm[:ss[.SSSSSSSSS]]]" for sep in ("'T'", " "))
-_CLOCK_SHAPE = r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?"
+_CLOCK_SHAPE = r"([T ]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,9})?)?)?"
 _INTEGER_SHAPE = r"^[+-]?\d+$"
 _NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def _date_part(template: str) -> list[str]:
-    """Tokens of a template up to its last date field."""
+    """Tokens of a template up to its last date field, without the quotes of literals."""
     tokens = _TOKEN.findall(template)
-    last = max((i for i, t in enumerate(tokens) if t.upper() in _DATE_TOKENS), default=-1)
+    last = max((i for i, t in enumerate(tokens) if t.upper() in _DATE_FIELDS), default=-1)
     if last < 0:
         raise ValueError(f"no date field in template {template!r}")
-    return tokens[: last + 1]
+    return [t.strip('"') for t in tokens[: last + 1]]
 
 
-def date_pattern(template: str) -> str:
-    """Spark pattern for a database date template.
+def date_shape(template: str) -> str:
+    """Regular expression of text in a template's format.
 
-    The part up to the last date field is kept as written; whatever clock part the
-    template names becomes optional, so ``2021-01-02`` and ``2021-01-02T10:00`` both match.
+    The part up to the last date field is as written; whatever clock part the template names is
+    optional, so ``2021-01-02`` and ``2021-01-02T10:00`` both match.
     """
-    head = []
-    for token in _date_part(template):
-        if token.upper() in _DATE_TOKENS:
-            head.append(_DATE_TOKENS[token.upper()])
-        elif token.startswith('"') or token.isalpha():
-            literal = token.strip('"').replace("'", "''")
-            head.append(f"'{literal}'")
-        else:
-            head.append(token)
-    return "".join(head) + _CLOCK
-
-
-def date_shape(template: str) -> str:
-    """Regular expression that any text in a template's format matches."""
     head = [
-        rf"\d{{{len(token)}}}" if token.upper() in _DATE_TOKENS else re.escape(token.strip('"'))
+        rf"\d{{{len(token)}}}" if token.upper() in _DATE_FIELDS else re.escape(token)
         for token in _date_part(template)
     ]
     return "^" + "".join(head) + _CLOCK_SHAPE + "$"
 
 
+def _iso_date(text: Column, template: str) -> tuple[Column, int]:
+    """Year, month and day in ISO order, taken from their fixed places, and the length read."""
+    found, place = {}, 1
+    for token in _date_part(template):
+        if token.upper() in _DATE_FIELDS:
+            found[token.upper()] = F.substring(text, place, len(token))
+        place += len(token)
+    year = found.get("YYYY")
+    if year is None:
+        short = found.get("YY", F.lit("70"))
+        year = F.concat(F.when(short < "70", "20").otherwise("19"), short)
+    first = F.lit("01")
+    return F.concat_ws("-", year, found.get("MM", first), found.get("DD", first)), place - 1
+
+
 def blank_to_null(c: Column) -> Column:
     return F.when(F.length(F.trim(c)) > 0, c)
 
 
 def to_timestamp(c: Column, formats=DATE_FORMATS) -> Column:
-    """First format that parses. A format is tried on text of its shape only, because a failed
-    parse costs an exception and most text fits none or one of the formats."""
+    """First format that fits, as a stamp without a zone."""
     text = F.trim(c.cast("string"))
-    tries = [F.when(text.rlike(date_shape(f)), F.try_to_timestamp(text, F.lit(date_pattern(f)))) for f in formats]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    tries = []
+    for f in formats:
+        iso, length = _iso_date(text, f)
+        clock = F.substr(text, F.lit(length + 1))
+        # A cast is tried on text of the right shape only, because a failed one costs an exception.
+        tries.append(F.when(text.rlike(date_shape(f)), F.concat(iso, clock).try_cast("timestamp_ntz")))
+    return F.coalesce(*tries)
 
 
 def to_date(c: Column, formats=DATE_FORMATS) -> Column:
-    return to_timestamp(c, formats).cast("date")
+    text = F.trim(c.cast("string"))
+    tries = [F.when(text.rlike(date_shape(f)), _iso_date(text, f)[0].try_cast("date")) for f in formats]
+    return F.coalesce(*tries)
 
 
 def to_number(c: Column, target: T.DataType) -> Column:

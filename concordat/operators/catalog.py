@@ -24,11 +24,10 @@ def pivot_extras(extras: DataFrame, owner: str, fields: Mapping[str, str], trim:
 
 
 def iso(c: Column) -> Column:
-    """ISO text of a timestamp, with microseconds only when it has some."""
-    whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
-    return F.when(F.date_format(c, "SSSSSS") == "000000", whole).otherwise(
-        F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    )
+    """ISO text of a stamp as written on the clock, with microseconds only when it has some."""
+    text = F.replace(c.cast("string"), F.lit(" "), F.lit("T"))
+    point = F.instr(text, ".")
+    return F.when(point > 0, F.rpad(text, point + 6, F.lit("0"))).otherwise(text)
 
 
 def last_changed(modified: Column, dataset_modified: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from concordat.functions.casts import to_timestamp
 from concordat.names import PROVENANCE_STAMPS, Names
 from concordat.operators.conform import BEST_GEOMETRY, conform
 from concordat.operators.dictionary import build_mapping, read_coded, read_renames, short_name
@@ -20,7 +21,8 @@ log = logging.getLogger(__name__)
 
 # How the registry names an owner's data dictionary.
 DICTIONARY, DICTIONARY_SUFFIX = "dictionnaire_champs_valeurs_raw", "_dict"
-_STAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+# Fixed value: how the registry writes stamps.
+_STAMP = 'YYYY-MM-DD"T"HH24:MI:SS'
 # More tables than this should be landed as one partitioned dataset instead.
 MAX_TABLES = 100_000
 
@@ -68,7 +70,7 @@ def matching_tables(
 
 def provenance(registry_rows: DataFrame, names: Names = Names()) -> DataFrame:
     """Registry rows as the provenance columns of the tables they describe."""
-    stamps = [F.try_to_timestamp(F.col(c), F.lit(_STAMP)).cast("timestamp_ntz").alias(c) for c in PROVENANCE_STAMPS]
+    stamps = [to_timestamp(F.col(c), [_STAMP]).alias(c) for c in PROVENANCE_STAMPS]
     key = F.concat_ws(".", "schema", "table").alias("import_table")
     return registry_rows.select(key, *stamps, "data_owner_id", "data_owner_label", *names.fields)
 

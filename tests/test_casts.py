@@ -52,11 +52,24 @@ def test_timestamp_keeps_time(spark):
 
 
 @pytest.mark.parametrize(
-    "template, head",
-    [("YYYY-MM-DD", "yyyy-MM-dd"), ('DD"/"MM"/"YYYY HH24:mi', "dd'/'MM'/'yyyy"), ("YYYYMMDD", "yyyyMMdd")],
+    "template, text, expected",
+    [
+        ("YYYY-MM-DD", "2021-02-03", (2021, 2, 3)), ('DD"/"MM"/"YYYY HH24:mi', "03/02/2021 23:59", (2021, 2, 3)),
+        ("YYYYMMDD", "20210203", (2021, 2, 3)), ("MM.YYYY", "02.2021", (2021, 2, 1)), ("YYYY", "2021", (2021, 1, 1)),
+        ("DD/MM/YY", "03/02/69", (2069, 2, 3)), ("DD/MM/YY", "03/02/70", (1970, 2, 3)),
+        ("YYYY-MM-DD", "2021-02-03T24:00", None), ("YYYY-MM-DD", "2021-02-03 10:60", None), ("YYYYMMDD", "2021023", None),
+    ],
 )
-def test_template_translation(template, head):
-    assert casts.date_pattern(template).startswith(head + "[")
+def test_templates(spark, template, text, expected):
+    got = values(spark, [text], lambda c: casts.to_date(c, [template]))
+    assert got == [datetime.date(*expected) if expected else None]
+
+
+def test_clock_prefixes(spark):
+    inputs = ["2021-01-02T10:05", "2021-01-02 10:05:06", "2021-01-02", "2021-01-02T10:05:06.1234567", "2021-03-28T02:30:00"]
+    at = lambda *a: datetime.datetime(2021, *a)
+    assert values(spark, inputs, casts.to_timestamp) == [
+        at(1, 2, 10, 5), at(1, 2, 10, 5, 6), at(1, 2), at(1, 2, 10, 5, 6, 123456), at(3, 28, 2, 30)]
 
 
 def test_uuid_matches_the_standard_library(spark):

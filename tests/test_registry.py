@@ -152,3 +152,15 @@ def test_catalog_filters_and_first_values(spark):
 def test_latest_by_key(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("a", None, "z"), ("b", None, "w")], "id string, at int, v string")
     assert sorted(r.v for r in catalog.latest_by_key(df, "id", "at").collect()) == ["w", "y"]
+
+
+def test_iso_text(spark):
+    stamps = [DAY, DAY.replace(microsecond=500000), datetime.datetime(2021, 3, 28, 2, 30), None]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(stamps)], "i int, at timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        got = [r.v for r in df.select("i", catalog.iso(F.col("at")).alias("v")).orderBy("i").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # The third stamp does not exist in that zone, and is kept as written.
+    assert got == [s.isoformat() if s else None for s in stamps]
