@@ -79,4 +79,4 @@ def resource_catalog(
 def latest_by_key(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` per key, so that moved resources leave no duplicate."""
     order = [order] if isinstance(order, str) else list(order)
-    return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in order])
+    return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in order], set(order))

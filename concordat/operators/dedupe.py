@@ -48,14 +48,26 @@ def parse_order(order_by: str | Sequence[str | Column] | None) -> list[Column]:
     return result
 
 
-def first_per_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Keep one row per key. Rows that tie on ``order`` are told apart by their other columns.
+def _ordered(order_by: str | Sequence[str | Column] | None) -> set[str]:
+    items = order_by.split(",") if isinstance(order_by, str) else order_by or []
+    return {item.split()[0] for item in items if isinstance(item, str) and item.strip()}
+
+
+def first_per_key(
+    df: DataFrame, keys: str | Sequence[str], order: Sequence[Column], ordered: set[str] = frozenset()
+) -> DataFrame:
+    """Keep one row per key. Rows that tie on ``order`` are told apart by their other columns,
+    save those that ``order`` holds already (``ordered``).
 
     ``row_number() = 1`` is a pattern Spark limits per group before the shuffle, so each map
     task sends at most one row per key, however many rows a hot key or the NULL group has.
     """
     keys = _names(keys)
-    ties = [F.col(f"`{f.name}`").asc_nulls_last() for f in df.schema if f.name not in keys and _orderable(f.dataType)]
+    ties = [
+        F.col(f"`{f.name}`").asc_nulls_last()
+        for f in df.schema
+        if f.name not in keys and f.name not in ordered and _orderable(f.dataType)
+    ]
     window = Window.partitionBy(*keys).orderBy(*order, *ties)
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
@@ -68,7 +80,7 @@ def dedupe(
 ) -> DataFrame:
     """``DISTINCT ON (ids)``: the first row per ids by ``order_by``. NULL ids form one group."""
     source = df if where is None else df.filter(where)
-    return first_per_key(source, ids, parse_order(order_by))
+    return first_per_key(source, ids, parse_order(order_by), _ordered(order_by))
 
 
 def dedupe_agg(
@@ -90,7 +102,8 @@ def dedupe_agg(
     if len(directions) > 1:
         raise ValueError("dedupe_agg needs one sort direction; use dedupe for mixed ones")
     # With the NULL flag first, an ascending pick leaves NULLs last and a descending one takes them first.
-    ties = [f.name for f in df.schema if f.name not in ids and _orderable(f.dataType)]
+    named = _ordered(order_by)
+    ties = [f.name for f in df.schema if f.name not in ids and f.name not in named and _orderable(f.dataType)]
     rank = [f for c in [p[0] for p in parts] + ties for f in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     pick = F.max_by if directions == {"desc"} else F.min_by

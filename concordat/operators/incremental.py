@@ -71,9 +71,11 @@ def run_incremental(
     if current is None:
         table.commit(source, mark_column=ts_col)
         return table.read()
-    batch = since(source, table.mark() or EPOCH, ts_col, inclusive)
+    mark = table.mark() or EPOCH
+    batch = since(source, mark, ts_col, inclusive)
     if partitioned:
-        write_partitions(batch, table.data_path(), keys)
+        # Stored rows past the watermark come from a run that died before it was logged.
+        write_partitions(batch, table.data_path(), keys, unfinished=since(current, mark, ts_col, inclusive))
         table.log(ts_col)
     else:
         table.commit(replace_by_key(current, batch, keys), mark_column=ts_col)

@@ -43,11 +43,14 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def write_partitions(batch: DataFrame, path: str, keys: Sequence[str]) -> None:
+def write_partitions(
+    batch: DataFrame, path: str, keys: Sequence[str], unfinished: DataFrame | None = None
+) -> None:
     """Replace the groups present in ``batch`` in a table partitioned by ``keys``.
 
     Only their partitions are written and nothing else is read. Rows with a NULL key match no
-    group, so they are added. A run that is repeated after a failure replaces the same groups.
+    group, so they are added, save those that a failed run left behind (``unfinished``). So a run
+    may be repeated after a failure.
     """
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     # Rebalancing makes few files per group and splits a very large group among tasks.
@@ -57,6 +60,8 @@ def write_partitions(batch: DataFrame, path: str, keys: Sequence[str]) -> None:
     )
     # limit(1) stops at the first row found.
     unknown = batch.filter(~known)
+    if unfinished is not None:
+        unknown = unknown.exceptAll(unfinished.filter(~known).select(*[f"`{c}`" for c in batch.columns]))
     if unknown.limit(1).count():
         unknown.write.mode("append").partitionBy(*keys).parquet(path)
 

@@ -102,6 +102,22 @@ def test_unfinished_version_is_not_read(spark, tmp_path):
     assert table.read().count() == 3
 
 
+def test_partitioned_run_can_be_repeated(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "t"), "owner string, name string, last_changed timestamp_ntz"
+    first = [("a", "a1", DAY(1)), (None, "n1", DAY(1))]
+    second = first + [("a", "a2", DAY(2)), (None, "n2", DAY(2)), (None, "n2", DAY(2)), ("b", "b1", DAY(2))]
+    I.run_incremental(spark.createDataFrame(first, schema), path, "owner", partitioned=True)
+
+    def die(*_):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+        broken.setattr(VersionedTable, "log", die)
+        I.run_incremental(spark.createDataFrame(second, schema), path, "owner", partitioned=True)
+    done = I.run_incremental(spark.createDataFrame(second, schema), path, "owner", partitioned=True)
+    assert sorted(r.name for r in done.collect()) == ["a2", "b1", "n1", "n2", "n2"]
+
+
 def test_inclusive_watermark(spark):
     df = spark.createDataFrame([(1, DAY(1)), (2, DAY(2))], "n int, last_changed timestamp_ntz")
     target = df.filter("n = 1")
