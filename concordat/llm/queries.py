@@ -8,10 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from concordat.llm.bpe import encode_documents
+from concordat.llm.langid import predict_languages
 from concordat.llm.packing import pack_documents
+from concordat.llm.quality import quality_rules
 from concordat.llm.token_files import token_files
+from concordat.llm.url_rules import filter_urls
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+#: Action, host and path of the stated rules.
+URL_RULES = (
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"),
+)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,18 +29,33 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_read(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(_read(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_read(spark, sf_dir, "documents"), VOCABULARY, end_id=1)
 
 
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_read(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), VOCABULARY, capacity=4096, end_id=2)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_language": op2_language,
     "op3_token_files": op3_token_files,
+    "op4_url_rules": op4_url_rules,
     "op7_packing": op7_packing,
+    "op10_quality": op10_quality,
 }
 #: SQL cannot express tokenising; these queries are held against the library and brute force in the tests.
 ORACLES: dict[str, str] = {}
