@@ -133,3 +133,18 @@ def predict_languages(
     kinds = [f"kept_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
     out = work.mapInArrow(run, ", ".join([*kinds, "held_out boolean, lang_pred string, score double"]))
     return out.select(*[F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)], "held_out", "lang_pred", "score")
+
+
+def keep_languages(docs: DataFrame, languages: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The documents in one of the languages, or in any that could be learned, with all columns, carried by place.
+
+    Texts that are null or hold no letter go. If no document has a language to learn from, all others stay.
+    """
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    places = [f"c{names.index(c)}" for c in (id_col, text_col, lang_col)]
+    found = predict_languages(plain, id_col=places[0], text_col=places[1], lang_col=places[2], keep=plain.columns)
+    wanted = F.col(places[1]).rlike(r"\p{L}")
+    if languages is not None:
+        wanted &= F.col("lang_pred").isin(languages)
+    return found.where(wanted).select(*plain.columns).toDF(*names)

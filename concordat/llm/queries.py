@@ -8,9 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from concordat.llm.bpe import encode_documents
+from concordat.llm.embed_dedup import near_embeddings
+from concordat.llm.jaccard import jaccard_components
 from concordat.llm.langid import predict_languages
 from concordat.llm.packing import pack_documents
+from concordat.llm.ppm import language_model_scores
 from concordat.llm.quality import quality_rules
+from concordat.llm.substring_dedup import duplicate_spans
 from concordat.llm.token_files import token_files
 from concordat.llm.url_rules import filter_urls
 
@@ -41,10 +45,26 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(_read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_read(spark, sf_dir, "documents"), percent=90, width=3)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), VOCABULARY, capacity=4096, end_id=2)
 
 
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_spans(_read(spark, sf_dir, "documents"), width=13).drop("spans")
+
+
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(_read(spark, sf_dir, "documents"), modulus=7, remainder=2)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_read(spark, sf_dir, "documents"))
 
@@ -54,7 +74,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_token_files": op3_token_files,
     "op4_url_rules": op4_url_rules,
+    "op5_embeddings": op5_embeddings,
+    "op6_jaccard": op6_jaccard,
     "op7_packing": op7_packing,
+    "op8_substring": op8_substring,
+    "op9_ppm": op9_ppm,
     "op10_quality": op10_quality,
 }
 #: SQL cannot express tokenising; these queries are held against the library and brute force in the tests.

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,3 +78,20 @@ def components(links: DataFrame, name: str) -> DataFrame:
         before = now
     found = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return found.union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
+    """Runs of rows with equal keys, from batches that are sorted by them; memory holds one run and one batch."""
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = pa.Table.from_batches([batch])
+        held = new if held is None else pa.concat_tables([held, new])
+        marks = np.stack([held.column(c).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy() for c in keys], axis=1)
+        cuts = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(1)) + 1).tolist()]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield held.slice(a, b - a)
+        held = held.slice(cuts[-1])
+    if held is not None:
+        yield held
