@@ -19,11 +19,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.shared import groups, held_out, stored
+from concordat.llm.substring_dedup import squeeze, unsqueeze
 
 ORDER = 5
 LOW = 3
@@ -40,6 +42,14 @@ _PIECE = 4 << 20
 Table = tuple[np.ndarray, np.ndarray]  # sorted keys, counts
 
 
+def _zip(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def _unzip(packed: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
+
+
 def mask(size: int) -> np.uint64:
     return np.uint64((1 << 8 * size) - 1)
 
@@ -71,10 +81,6 @@ def look_up(table: Table, keys: np.ndarray) -> np.ndarray:
     return np.where(table[0][at] == keys, table[1][at], 0)
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()
-
-
 class Trie:
     """Counts of every order up to the given one, from the table of its longest n-grams."""
 
@@ -121,7 +127,7 @@ def _bucket(kind: int, keys: np.ndarray) -> np.ndarray:
 
 
 def _chunked(docs: DataFrame, id_col: str, text_col: str, modulus: int, remainder: int) -> DataFrame:
-    """doc_id, lower-case bytes, held_out and the chunk, dealt out as the rows are scanned."""
+    """doc_id, compressed lower-case bytes, held_out and the chunk, dealt out as the rows are scanned."""
     kind = docs.schema[id_col].dataType.simpleString()
     work = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("bytes"), held_out(id_col, modulus, remainder).alias("held_out"))
 
@@ -129,12 +135,14 @@ def _chunked(docs: DataFrame, id_col: str, text_col: str, modulus: int, remainde
         chunk, size = TaskContext.get().partitionId() << 24, 0
         for batch in batches:
             marks = []
+            small = zstandard.ZstdCompressor(level=1)
+            bodies = pa.array([small.compress(x.as_py().lower()) for x in batch.column(1)], pa.binary())
             for n in pc.binary_length(batch.column(1)).to_pylist():
                 marks.append(chunk)
                 size += n
                 if size >= CHUNK_BYTES:
                     chunk, size = chunk + 1, 0
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.int64())], [*batch.schema.names, "chunk"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), bodies, batch.column(2), pa.array(marks, pa.int64())], [*batch.schema.names, "chunk"])
 
     return stored(work.mapInArrow(run, f"doc_id {kind}, bytes binary, held_out boolean, chunk bigint"), "lm-chunks")
 
@@ -145,7 +153,7 @@ def _packed(kind: int, chunk: int, table: Table) -> list[tuple]:
     order = np.argsort(bucket, kind="stable")
     cuts = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
     keys, counts = table[0][order], table[1][order]
-    return [(kind, b, chunk, keys[x:y].tobytes(), counts[x:y].astype("<i4").tobytes()) for b, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if y > x]
+    return [(kind, b, chunk, squeeze(keys[x:y]), _zip(counts[x:y].astype("<i8"))) for b, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if y > x]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,6 +163,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     chunk, pending, size = None, [], 0
     tables: list[Table] = []
     seen: Counter = Counter()
+    unpack = zstandard.ZstdDecompressor()
 
     def gather() -> None:
         nonlocal pending, size
@@ -183,7 +192,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if chunk is not None and own != chunk:
                 yield flush()
             chunk = own
-            text = text.as_py().lower()
+            text = unpack.decompress(text.as_py())
             words = text.split()
             if out:
                 for w in words:
@@ -199,7 +208,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _arrays(part: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    return [np.frombuffer(x, "<u8") for x in part.column("keys").to_pylist()], [np.frombuffer(x, "<i4").astype(np.int64) if w == 4 else np.frombuffer(x, "<i8") for x, w in zip(part.column("counts").to_pylist(), part.column("width").to_pylist(), strict=True)]
+    return [unsqueeze(x) for x in part.column("keys").to_pylist()], [_unzip(x, "<i8") for x in part.column("counts").to_pylist()]
 
 
 def _sum(keys: list[str]):
@@ -207,19 +216,19 @@ def _sum(keys: list[str]):
         for part in groups(batches, keys):
             found = merged(*_arrays(part))
             seen = found[1] > 0
-            row = {c: [part.column(c)[0].as_py()] for c in keys} | {"keys": [found[0][seen].tobytes()], "counts": [found[1][seen].astype("<i8").tobytes()], "width": [8], "n": [int(found[1].sum())], "v": [int(seen.sum())]}
+            row = {c: [part.column(c)[0].as_py()] for c in keys} | {"keys": [squeeze(found[0][seen])], "counts": [_zip(found[1][seen])], "n": [int(found[1].sum())], "v": [int(seen.sum())]}
             if row["kind"][0] == GRAMS:
                 low = merged([found[0][seen] & mask(LOW)], [found[1][seen]])
                 row |= {"low": [low[0].astype(np.int64).tolist()], "low_counts": [low[1].tolist()]}
             else:
                 row |= {"low": [[]], "low_counts": [[]]}
-            kinds = {"keys": pa.binary(), "counts": pa.binary(), "width": pa.int32(), "low": pa.list_(pa.int64()), "low_counts": pa.list_(pa.int64()), "kind": pa.int32(), "bucket": pa.int32()}
+            kinds = {"keys": pa.binary(), "counts": pa.binary(), "low": pa.list_(pa.int64()), "low_counts": pa.list_(pa.int64()), "kind": pa.int32(), "bucket": pa.int32()}
             yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.int64())) for k, v in row.items()], list(row))
 
     return run
 
 
-_SUMS = "keys binary, counts binary, width int, n bigint, v bigint, low array<bigint>, low_counts array<bigint>"
+_SUMS = "keys binary, counts binary, n bigint, v bigint, low array<bigint>, low_counts array<bigint>"
 
 
 def language_model_scores(docs: DataFrame, modulus: int = 7, remainder: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,7 +243,7 @@ def language_model_scores(docs: DataFrame, modulus: int = 7, remainder: int = 2,
     chunks = _chunked(docs, id_col, text_col, modulus, remainder)
     counted = stored(chunks.mapInArrow(_count, "kind int, bucket int, chunk bigint, keys binary, counts binary"), "lm-counts")
     blocks = max(1, -(-counted.select("chunk").distinct().count() // BLOCK_CHUNKS))
-    dealt = counted.select("*", F.lit(4).alias("width"), F.pmod(F.xxhash64("chunk"), F.lit(blocks)).alias("block"))
+    dealt = counted.select("*", F.pmod(F.xxhash64("chunk"), F.lit(blocks)).alias("block"))
     first = ["kind", "bucket", "block"]
     partial = dealt.repartition(*first).sortWithinPartitions(*first).mapInArrow(_sum(first), f"kind int, bucket int, block bigint, {_SUMS}")
     second = ["kind", "bucket"]
@@ -248,7 +257,7 @@ def language_model_scores(docs: DataFrame, modulus: int = 7, remainder: int = 2,
     low = spark.sparkContext.broadcast(trigrams)  # 2**24 rows at most
 
     def values(wanted: pa.Table, known: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, "<u8") for x in wanted.column("keys").to_pylist()]
+        keys = [unsqueeze(x) for x in wanted.column("keys").to_pylist()]
         table = merged(*_arrays(known)) if known.num_rows else (np.empty(0, np.uint64), np.empty(0, np.int64))
         what = wanted.column("kind")[0].as_py() if wanted.num_rows else WORDS
         if what == GRAMS:
@@ -256,28 +265,29 @@ def language_model_scores(docs: DataFrame, modulus: int = 7, remainder: int = 2,
             out = []
             for k in keys:
                 value, coded, left_out, kinds_out = flat.walk(k, deep.walk(k, start_state(len(k))))
-                out.append(np.where(coded, value, value - np.log10(np.maximum(256 - kinds_out, 1))).astype("<f8").tobytes())
+                out.append(_zip(np.where(coded, value, value - np.log10(np.maximum(256 - kinds_out, 1))).astype("<f4")))
         else:
-            out = [look_up(table, k).astype("<f8").tobytes() for k in keys]
+            out = [_zip(look_up(table, k).astype("<i8")) for k in keys]
         return pa.table({"chunk": wanted.column("chunk").cast(pa.int64()), "kind": wanted.column("kind").cast(pa.int32()), "keys": wanted.column("keys"), "values": pa.array(out, pa.binary())})
 
-    spread = model.select(*second, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"), "keys", "counts", "width")
+    spread = model.select(*second, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"), "keys", "counts")
     priced = dealt.groupBy(*first).cogroup(spread.groupBy(*first)).applyInArrow(values, "chunk bigint, kind int, keys binary, values binary")
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
         def table(what: int) -> tuple[np.ndarray, np.ndarray]:
             rows = [(k, v) for q, k, v in zip(known.column("kind").to_pylist(), known.column("keys").to_pylist(), known.column("values").to_pylist(), strict=True) if q == what]
-            keys = np.concatenate([np.frombuffer(k, "<u8") for k, _ in rows] or [np.empty(0, np.uint64)])
-            found = np.concatenate([np.frombuffer(v, "<f8") for _, v in rows] or [np.empty(0)])
+            keys = np.concatenate([unsqueeze(k) for k, _ in rows] or [np.empty(0, np.uint64)])
+            found = np.concatenate([_unzip(v, "<f4" if what == GRAMS else "<i8").astype(float) for _, v in rows] or [np.empty(0)])
             order = np.argsort(keys)
             return keys[order], found[order]
 
         (grams, logs), (words, counts) = table(GRAMS), table(WORDS)
         cached: dict[bytes, float] = {}
+        unpack = zstandard.ZstdDecompressor()
         base_all = np.log10(tokens + kinds + 1)
         rows = []
         for text in texts.column("bytes"):
-            text = text.as_py().lower()
+            text = unpack.decompress(text.as_py())
             own = text.split()
             for w in own:
                 if w not in cached:
@@ -287,7 +297,7 @@ def language_model_scores(docs: DataFrame, modulus: int = 7, remainder: int = 2,
             total = 0.0
             for at in range(0, len(text) + 1, _PIECE):  # a piece with the context before it
                 codes = gram_codes(text) if len(text) < _PIECE else _piece_codes(text, at)
-                total += logs[np.searchsorted(grams, codes)].sum()
+                total += logs[np.searchsorted(grams, np.sort(codes))].sum()  # sorted keys are found faster
             rows.append((len(c), int((c > 0).sum()), tokens, float((np.log10(c + 1) - base_all).sum()), float(total)))
         columns = list(zip(*rows, strict=True)) or [[]] * 5
         return pa.table({
