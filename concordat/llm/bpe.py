@@ -147,7 +147,7 @@ class BpeTokenizer:
             labels[token] = label
         symbol = dict(enumerate(_byte_symbols()))
         encode = self.automaton.encode_word
-        self._chunks = ChunkEncoder(WordEncoder(splitter, lambda words: (encode(w.encode().decode("latin-1").translate(symbol)) for w in words)))
+        self._chunks = ChunkEncoder(WordEncoder(splitter, lambda words: (encode(w.encode().decode("latin-1").translate(symbol)) for w in words)), lower_case=True)
 
     def encode(self, text: str | None):
         return self._chunks.encode(text)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 import unicodedata
 from collections.abc import Callable, Iterable, Sequence
@@ -28,8 +29,8 @@ class ChunkEncoder:
     encode_chunks maps new chunks to their ids. Ids live in one flat array; a text is a gather over its chunks.
     """
 
-    def __init__(self, encode_chunks: Callable[[list[str]], list[Sequence[int]]], limit: int = CACHE_LIMIT):
-        self._encode, self._limit = encode_chunks, limit
+    def __init__(self, encode_chunks: Callable[[list[str]], list[Sequence[int]]], lower_case: bool = False, limit: int = CACHE_LIMIT):
+        self._encode, self._lower_case, self._limit = encode_chunks, lower_case, limit
         self._reset()
 
     def _reset(self) -> None:
@@ -55,7 +56,10 @@ class ChunkEncoder:
 
     def encode(self, text: str | None) -> np.ndarray:
         """Token ids as unsigned 32-bit integers; a null text counts as empty."""
-        pieces = split(text or "")
+        text = text or ""
+        if self._lower_case and text.isascii() and "<|" not in text:
+            text = text.lower()  # what every chunk comes to; fewer differ
+        pieces = split(text)
         if len(self._place) > self._limit:
             self._reset()
         at = np.fromiter(map(self._place.get, pieces, repeat(-1)), np.int64, len(pieces))
@@ -65,7 +69,7 @@ class ChunkEncoder:
         lengths = self._length[at]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        return self._flat[np.repeat(self._start[at] - ends + lengths, lengths) + np.arange(total)]
+        return self._flat[np.repeat((self._start[at] - ends + lengths).astype(np.int32), lengths) + np.arange(total, dtype=np.int32)]
 
 
 class WordSplitter:
@@ -128,7 +132,8 @@ def library_encoder(vocabulary_json: str) -> ChunkEncoder:
 
     New words go to the library together, parted by spaces: a word ends with the one token that carries the suffix.
     """
-    from tokenizers import Tokenizer
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+    from tokenizers import Tokenizer, pre_tokenizers
 
     spec = json.loads(vocabulary_json) | {"truncation": None, "padding": None}
     tokenizer = Tokenizer.from_str(json.dumps(spec))
@@ -136,6 +141,9 @@ def library_encoder(vocabulary_json: str) -> ChunkEncoder:
     if not suffix:
         return ChunkEncoder(lambda new: [tokenizer.encode(x, add_special_tokens=False).ids for x in new])
     vocab = spec["model"]["vocab"]
+    # Words are normalised and cut already.
+    tokenizer = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}))
+    tokenizer.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     closes = np.zeros(max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]) + 1, bool)
     closes[[i for label, i in vocab.items() if label.endswith(suffix)]] = True
 
@@ -150,4 +158,4 @@ def library_encoder(vocabulary_json: str) -> ChunkEncoder:
         ids, ends = ids.tolist(), ends.tolist()
         return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
-    return ChunkEncoder(WordEncoder(WordSplitter(spec), encode_words))
+    return ChunkEncoder(WordEncoder(WordSplitter(spec), encode_words), lower_case=True)
