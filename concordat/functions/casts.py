@@ -25,8 +25,11 @@ FALSE_WORDS = ("f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0", "
 
 _DATE_FIELDS = ("YYYY", "YY", "MM", "DD")
 _TOKEN = re.compile(r'"[^"]*"|YYYY|YY|MM|DD|HH24|HH|MI|SS|MS|US|S+|.', re.IGNORECASE)
-# Any prefix of a clock time, after either separator.
-_CLOCK_SHAPE = r"([T ]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,9})?)?)?"
+# Any prefix of a clock time, after either separator, with or without a zone.
+_ZONE = r"(Z|[+-]\d{2}(:?\d{2})?)"
+_CLOCK_SHAPE = rf"([T ]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{{1,9}})?)?{_ZONE}?)?"
+# A day or month of one digit, between separators.
+_SHORT_FIELD = r"(^|[-/])(\d)(?=[-/T ]|$)"
 _INTEGER_SHAPE = r"^[+-]?\d+$"
 _NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
@@ -72,20 +75,25 @@ def blank_to_null(c: Column) -> Column:
     return F.when(F.length(F.trim(c)) > 0, c)
 
 
+def _padded(c: Column) -> Column:
+    """Trimmed text whose days and months have two digits."""
+    return F.regexp_replace(F.trim(c.cast("string")), _SHORT_FIELD, "$10$2")
+
+
 def to_timestamp(c: Column, formats=DATE_FORMATS) -> Column:
-    """First format that fits, as a stamp without a zone."""
-    text = F.trim(c.cast("string"))
+    """First format that fits, as a stamp without a zone; a zone in the text is passed over."""
+    text = _padded(c)
     tries = []
     for f in formats:
         iso, length = _iso_date(text, f)
-        clock = F.substr(text, F.lit(length + 1))
+        clock = F.regexp_replace(F.substr(text, F.lit(length + 1)), rf"{_ZONE}$", "")
         # A cast is tried on text of the right shape only, because a failed one costs an exception.
         tries.append(F.when(text.rlike(date_shape(f)), F.concat(iso, clock).try_cast("timestamp_ntz")))
     return F.coalesce(*tries)
 
 
 def to_date(c: Column, formats=DATE_FORMATS) -> Column:
-    text = F.trim(c.cast("string"))
+    text = _padded(c)
     tries = [F.when(text.rlike(date_shape(f)), _iso_date(text, f)[0].try_cast("date")) for f in formats]
     return F.coalesce(*tries)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,24 +24,48 @@ def _orderable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
+_SUFFIX = re.compile(r"(?:\s+(asc|desc))?(?:\s+nulls\s+(first|last))?\s*$", re.IGNORECASE)
+
+
+def _split(order_by: str) -> list[str]:
+    """Items of the text, cut at commas outside parentheses and quotes."""
+    items, depth, quote, start = [], 0, "", 0
+    for at, c in enumerate(order_by):
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "'\"`":
+            quote = c
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        elif c == "," and not depth:
+            items.append(order_by[start:at])
+            start = at + 1
+    return [x.strip() for x in [*items, order_by[start:]] if x.strip()]
+
+
+def _parts(item: str) -> tuple[str, bool, bool]:
+    """(expression, descending, NULLs first)."""
+    found = _SUFFIX.search(item)
+    descending = (found[1] or "").lower() == "desc"
+    nulls = (found[2] or "").lower()
+    return item[: found.start()].strip(), descending, nulls == "first" or (descending and nulls != "last")
+
+
 def parse_order(order_by: str | Sequence[str | Column] | None) -> list[Column]:
-    """Sort columns from ``"a desc, b"``-like text, with the database's placing of NULLs.
+    """Sort columns from ``"coalesce(a, b) desc, c"``-like text, with the database's placing of NULLs.
 
     Ascending puts NULLs last and descending puts them first, unless the text says otherwise.
     """
     if order_by is None:
         return []
-    items = order_by.split(",") if isinstance(order_by, str) else order_by
+    items = _split(order_by) if isinstance(order_by, str) else order_by
     result = []
     for item in items:
         if isinstance(item, Column):
             result.append(item)
             continue
-        words = item.strip().split()
-        tail = [w.lower() for w in words[1:]]
-        column = F.col(words[0])
-        descending = "desc" in tail
-        nulls_first = "first" in tail or (descending and "last" not in tail)
+        text, descending, nulls_first = _parts(item)
+        column = F.expr(text)
         if descending:
             result.append(column.desc_nulls_first() if nulls_first else column.desc_nulls_last())
         else:
@@ -49,8 +74,8 @@ def parse_order(order_by: str | Sequence[str | Column] | None) -> list[Column]:
 
 
 def _ordered(order_by: str | Sequence[str | Column] | None) -> set[str]:
-    items = order_by.split(",") if isinstance(order_by, str) else order_by or []
-    return {item.split()[0] for item in items if isinstance(item, str) and item.strip()}
+    items = _split(order_by) if isinstance(order_by, str) else order_by or []
+    return {_parts(item)[0].strip("`") for item in items if isinstance(item, str)}
 
 
 def first_per_key(
@@ -89,7 +114,7 @@ def dedupe_agg(
     order_by: str,
     where: str | Column | None = None,
 ) -> DataFrame:
-    """``dedupe`` as one aggregation of whole rows, reduced in each map task before the shuffle.
+    """``dedupe`` as one aggregation of whole rows. Each map task sorts its rows, then sends one per key.
 
     All sort columns must run in one direction, since the row is picked by one least or greatest
     struct. Ties on ``order_by`` go by the other columns in that same direction, so name a
@@ -97,14 +122,15 @@ def dedupe_agg(
     """
     ids = _names(ids)
     source = df if where is None else df.filter(where)
-    parts = [item.strip().split() for item in order_by.split(",")]
-    directions = {"desc" if "desc" in (w.lower() for w in p[1:]) else "asc" for p in parts}
+    parts = [_parts(item) for item in _split(order_by)]
+    directions = {"desc" if descending else "asc" for _, descending, _ in parts}
     if len(directions) > 1:
         raise ValueError("dedupe_agg needs one sort direction; use dedupe for mixed ones")
     # With the NULL flag first, an ascending pick leaves NULLs last and a descending one takes them first.
     named = _ordered(order_by)
     ties = [f.name for f in df.schema if f.name not in ids and f.name not in named and _orderable(f.dataType)]
-    rank = [f for c in [p[0] for p in parts] + ties for f in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    keys = [F.expr(p[0]) for p in parts] + [F.col(f"`{c}`") for c in ties]
+    rank = [f for c in keys for f in (c.isNull(), c)]
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     pick = F.max_by if directions == {"desc"} else F.min_by
     best = pick(row, F.struct(*[f.alias(f"r{i}") for i, f in enumerate(rank)]))

@@ -30,10 +30,16 @@ BROADCAST_BYTES = 128 << 20
 _ROW_BYTES, _POINT_BYTES = 256, 16
 
 
+def marked(links: DataFrame) -> Column:
+    """Whether a row is the one that carries the watermark: its ids are the marker, whatever an area is called."""
+    object_id, area_id = (F.coalesce(F.col(f"`{c}`").cast("string") == MARKER, F.lit(False)) for c in links.columns[:2])
+    return object_id & area_id
+
+
 def link_watermark(links: DataFrame | None) -> datetime.datetime:
     if links is None:
         return EPOCH
-    found = links.filter(F.col("com_name").isNull()).agg(F.max(MARK_COLUMN)).first()[0]
+    found = links.filter(marked(links)).agg(F.max(MARK_COLUMN)).first()[0]
     return EPOCH if found is None else found
 
 
@@ -223,9 +229,9 @@ def link_within(
             )
         pairs = near.select(F.col("oid").alias(object_id), *kept, F.col("stamp").alias(MARK_COLUMN))
         links = pairs if links is None else links.unionByName(pairs)
-    if order_by:
-        links = links.orderBy(*order_by)
-    return links.unionByName(_marker_row(objects, links, object_id, area_id, last_changed)) if marker else links
+    if marker:
+        links = links.unionByName(_marker_row(objects, links, object_id, area_id, last_changed))
+    return links.orderBy(*order_by) if order_by else links
 
 
 def _marker_row(

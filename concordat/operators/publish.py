@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -66,7 +67,7 @@ def field_types(schema: T.StructType) -> str:
             return "timestamp"
         return "bool" if isinstance(t, T.BooleanType) else "text"
 
-    return "[" + ",".join(f'{{"id":"{f.name}","type":"{kind(f.dataType)}"}}' for f in schema) + "]"
+    return "[" + ",".join(f'{{"id":{json.dumps(f.name, ensure_ascii=False)},"type":"{kind(f.dataType)}"}}' for f in schema) + "]"
 
 
 def title(role: str, target: str) -> str:
@@ -115,7 +116,7 @@ def build_manifest(
         return lines.withColumns({"action": F.lit("create"), "resource_name": F.col("relation")})
     before = previous.select(
         *MANIFEST_KEYS, F.col("rows").alias("__rows"), F.col("checksum").alias("__checksum"),
-        F.col("fields").alias("__fields"),
+        F.col("fields").alias("__fields"), F.col("resource_name").alias("__name"),
     )
     joined = lines.join(before, list(MANIFEST_KEYS), "left")
     same = (F.col("rows") == F.col("__rows")) & (F.col("checksum") == F.col("__checksum"))
@@ -127,9 +128,10 @@ def build_manifest(
     return joined.withColumns(
         {
             "action": action,
-            "resource_name": F.when(F.coalesce(conflict, F.lit(False)), sibling).otherwise(F.col("relation")),
+            # A sibling stays the resource of its partition until the next conflict.
+            "resource_name": F.when(F.coalesce(conflict, F.lit(False)), sibling).otherwise(F.coalesce("__name", "relation")),
         }
-    ).drop("__rows", "__checksum", "__fields")
+    ).drop("__rows", "__checksum", "__fields", "__name")
 
 
 def publish(

@@ -23,8 +23,6 @@ log = logging.getLogger(__name__)
 DICTIONARY, DICTIONARY_SUFFIX = "dictionnaire_champs_valeurs_raw", "_dict"
 # Fixed value: how the registry writes stamps.
 _STAMP = 'YYYY-MM-DD"T"HH24:MI:SS'
-# More tables than this should be landed as one partitioned dataset instead.
-MAX_TABLES = 100_000
 
 
 def _usable(registry: DataFrame, names: Names) -> DataFrame:
@@ -120,10 +118,7 @@ def _clear_provenance(raw: DataFrame, names: Names) -> DataFrame:
 
 
 def _collect_tables(tables: DataFrame) -> list[Row]:
-    rows = tables.orderBy("schema", "table").limit(MAX_TABLES + 1).collect()
-    if len(rows) > MAX_TABLES:
-        raise ValueError(f"more than {MAX_TABLES} raw tables; land them as one partitioned dataset")
-    return rows
+    return tables.orderBy("schema", "table").collect()
 
 
 def union_sources(
@@ -170,7 +165,7 @@ def union_groups(
     groups = (
         matching_tables(registry, names=names)
         .groupBy(names.use_case, "group_source").agg(F.min("group_prefix").alias("prefix"))
-        .orderBy(names.use_case, "group_source").limit(MAX_TABLES).collect()
+        .orderBy(names.use_case, "group_source").collect()
     )
     return {
         f"{g['prefix']}_src_{g['group_source']}": union_by_name(
@@ -232,8 +227,12 @@ def _union_rows(
         for c in ("schema", "table", "data_owner_id", "data_owner_label", *PROVENANCE_STAMPS, *names.fields)
     ])
     known = spark.createDataFrame([tuple(r[c] for c in schema.names) for r in rows], schema)
-    joined = conformed.join(F.broadcast(provenance(known, names)), "import_table")
+    origins = provenance(known, names).withColumn("__known", F.lit(True))
+    joined = conformed.join(origins, "import_table", "left")
     own = [c for c in conformed.columns if c != "import_table"]
-    return joined.select("import_table", *[f"`{c}`" for c in own], *names.provenance[1:])
+    # A row that no registered table accounts for must not vanish.
+    unknown = F.raise_error(F.concat(F.lit("no provenance for table "), F.coalesce("import_table", F.lit("NULL"))))
+    table = F.when(F.col("__known"), F.col("import_table")).otherwise(unknown).alias("import_table")
+    return joined.select(table, *[f"`{c}`" for c in own], *names.provenance[1:])
 
 

@@ -18,7 +18,7 @@ from concordat.operators.incremental import run_incremental
 from concordat.operators.joins import sized
 from concordat.operators.jsonld import to_jsonld
 from concordat.operators.keys import translate_perimeters
-from concordat.operators.link import link_watermark, link_within
+from concordat.operators.link import link_watermark, link_within, marked
 from concordat.operators.union import union_by_name, union_sources
 from concordat.sources.raw import RawTables
 from concordat.sources.tables import VersionedTable
@@ -147,7 +147,7 @@ def commune_links(
 
 def links_only(stored: DataFrame) -> DataFrame:
     """Links without the row that carries the watermark."""
-    return stored.filter(F.col("com_name").isNotNull())
+    return stored.filter(~marked(stored))
 
 
 def commune_entities(communes: DataFrame, id_prefix: str, context: str) -> DataFrame:

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from concordat.functions import geometry as G
 from concordat.names import Names
@@ -15,8 +18,7 @@ from concordat.operators.union import fold_union
 
 SEPARATORS = (";", ",", "\t", "|")
 BOM = "\ufeff"
-# More distinct property names than this is not a table.
-MAX_PROPERTIES = 10_000
+_CORRUPT = "__corrupt"
 
 
 def sniff_separator(header: str) -> str:
@@ -25,74 +27,105 @@ def sniff_separator(header: str) -> str:
     return max(SEPARATORS, key=lambda s: (bare.count(s), -SEPARATORS.index(s)))
 
 
-def file_encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``(path, utf8)`` per file. Lines are checked where they are read, so large files are split."""
+def file_facts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``(path, utf8, broken)`` per file: whether it is UTF-8, and whether a quote stays open at the end of a line.
+
+    Lines are checked where they are read, so large files are split.
+    """
     lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
-    return lines.groupBy("path").agg(F.min(F.is_valid_utf8("value")).alias("utf8"))
+    open_quote = F.regexp_count("value", F.lit('"')) % 2 == 1
+    return lines.groupBy("path").agg(F.min(F.is_valid_utf8("value")).alias("utf8"), F.max(open_quote).alias("broken"))
+
+
+def _plain(path: str) -> str:
+    """A file's path without percent-encoding, local ones in one spelling."""
+    return re.sub(r"^file:/+", "file:/", unquote(path))
+
+
+def _header(spark: SparkSession, path: str) -> str | None:
+    first = spark.read.text(path).first()
+    return None if first is None else first["value"]
 
 
 def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
     sep: str | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     encoding: str | None = None,
 ) -> DataFrame:
-    """One resource of delimited text, in one file or several with the same header.
+    """One resource of delimited text, in one file or several; columns go together by name.
 
     The separator comes from the first line, a byte order mark is dropped, and files that are not
-    UTF-8 are read as Latin-1; naming the ``encoding`` saves the pass over the files that finds
-    out. ``multi_line`` allows line breaks in quotes, at the price that a file is no longer split
-    among tasks.
+    UTF-8 are read as Latin-1. Line breaks in quotes are found where a line leaves a quote open;
+    such files are read by one task each. Naming the ``encoding`` and ``multi_line`` saves the pass
+    over the files that finds out. A row with more fields than the header fails the read.
     """
     paths = [path] if isinstance(path, str) else list(path)
+    files = sorted(_plain(f) for f in spark.read.text(paths).inputFiles())
+    headers = {f: h for f in files if (h := _header(spark, f)) is not None}
+    if not headers:
+        raise ValueError(f"no header in {paths}")
     if sep is None:
-        first = spark.read.text(paths).first()
-        if first is None:
-            raise ValueError(f"no header in {paths}")
-        sep = sniff_separator(first["value"])
-
-    def read(files: list[str], encoding: str) -> DataFrame:
-        df = spark.read.csv(
-            files, header=True, inferSchema=False, sep=sep, quote='"', escape='"',
-            encoding=encoding, multiLine=multi_line,
-        )
-        return df.toDF(*[c.removeprefix(BOM) for c in df.columns])
-
-    if encoding is not None:
-        return read(paths, encoding)
-    encodings = file_encodings(spark, paths).collect()
-    foreign = sorted(r["path"] for r in encodings if not r["utf8"])
-    clean = sorted(r["path"] for r in encodings if r["utf8"])
-    if not foreign:
-        return read(paths, "UTF-8")
-    latin = read(foreign, "ISO-8859-1")
-    return fold_union([read(clean, "UTF-8"), latin]) if clean else latin
-
-
-def read_geojson(spark: SparkSession, path: str | Sequence[str], layout: str = "lines") -> DataFrame:
+        sep = sniff_separator(next(iter(headers.values())))
+    facts = {}
+    if encoding is None or multi_line is None:
+        facts = {_plain(r["path"]): r for r in file_facts(spark, paths).collect()}
+    kinds: dict[tuple[str, str, bool], list[str]] = defaultdict(list)
+    for file, header in headers.items():
+        charset = encoding or ("UTF-8" if facts[file]["utf8"] else "ISO-8859-1")
+        kinds[header, charset, facts[file]["broken"] if multi_line is None else multi_line].append(file)
+
+    def read(members: list[str], charset: str, broken: bool) -> DataFrame:
+        options = {"sep": sep, "quote": '"', "escape": '"', "encoding": charset, "multiLine": broken}
+        named = spark.read.csv(members[0], header=True, inferSchema=False, **options).columns
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*named, _CORRUPT]])
+        df = spark.read.schema(schema).csv(members, header=True, enforceSchema=True, columnNameOfCorruptRecord=_CORRUPT, **options)
+        bare = F.regexp_replace(_CORRUPT, r'"(?:[^"]|"")*"', "")
+        extra = F.coalesce(F.regexp_count(bare, F.lit(re.escape(sep))) >= len(named), F.lit(False))
+        error = F.raise_error(F.concat(F.lit("a row has more fields than the header: "), F.substring(_CORRUPT, 1, 200)))
+        first = F.when(extra, error).otherwise(F.col(f"`{named[0]}`")).alias(named[0])
+        kept = df.select(first, *[F.col(f"`{c}`") for c in named[1:]])
+        return kept.toDF(*[c.removeprefix(BOM) for c in named])
+
+    return fold_union([read(members, charset, broken) for (_, charset, broken), members in kinds.items()])
+
+
+def read_geojson(spark: SparkSession, path: str | Sequence[str], layout: str | None = None) -> DataFrame:
     """Features as rows: one text column per property, and ``geometry`` in longitude and latitude.
 
-    ``layout="lines"`` is for one feature per line, bare or inside a collection, and splits large
-    files. ``layout="document"`` reads any collection, one file per task.
+    With one feature per line, bare or inside a collection, large files are split. Any other collection, on one line
+    or over many, is read as a whole file per task. Which of them it is shows in the lines, unless ``layout`` names it
+    (``lines`` or ``document``). Text that is neither a feature nor the frame of a collection fails the read. A property
+    called geometry comes as ``geometry__property``.
     """
     paths = [path] if isinstance(path, str) else list(path)
     feature = "type string, properties map<string,string>, geometry string"
+    if layout not in (None, "lines", "document"):
+        raise ValueError(f"unknown layout {layout!r}")
+    lines = spark.read.text(paths).select(F.regexp_replace(F.trim("value"), r",$", "").alias("text"))
+    # Text that breaks off is parsed as far as it goes, and marked.
+    checked = f"{feature}, {_CORRUPT} string"
+    lines = lines.select("text", F.from_json("text", checked, {"columnNameOfCorruptRecord": _CORRUPT}).alias("f"))
+    is_feature = F.coalesce((F.col("f.type") == "Feature") & F.col(f"f.{_CORRUPT}").isNull(), F.lit(False))
+    # What stands around features that have a line each: brackets, and the head and tail of the collection.
+    is_frame = F.col("text").rlike(r'^[\[\]{}\s]*$|^\{?\s*"(type|name|crs|bbox|features)"|^\]')
+    if layout is None:
+        seen = lines.agg(F.count_if(is_feature).alias("features"), F.count_if(~is_feature & ~is_frame).alias("others"), F.count_if(~is_feature & F.contains("text", F.lit('"Feature"'))).alias("inside")).first()
+        layout = "document" if seen["inside"] and not seen["features"] or seen["others"] and not seen["features"] else "lines"
     if layout == "lines":
-        text = F.regexp_replace(F.trim("value"), r",$", "")
-        features = spark.read.text(paths).select(F.from_json(text, feature).alias("f")).select("f.*")
-    elif layout == "document":
-        whole = spark.read.text(paths, wholetext=True)
-        collection = F.from_json("value", f"features array<struct<{_ddl_as_struct(feature)}>>")
-        features = whole.select(F.explode(collection["features"]).alias("f")).select("f.*")
+        strange = ~is_feature & (~is_frame | F.contains("text", F.lit('"Feature"')))
+        error = F.raise_error(F.concat(F.lit("neither a feature nor the frame of a collection: "), F.substring("text", 1, 200)))
+        features = lines.filter(F.when(strange, error.cast("boolean")).otherwise(is_feature)).select("f.*")
     else:
-        raise ValueError(f"unknown layout {layout!r}")
-    features = features.filter(F.col("type") == "Feature")
-    found = features.select(F.explode(F.map_keys("properties")).alias("k")).distinct().limit(MAX_PROPERTIES + 1)
+        whole = spark.read.text(paths, wholetext=True)
+        collection = F.from_json("value", f"features array<struct<{_ddl_as_struct(feature)}>>")["features"]
+        error = F.raise_error(F.lit("a file is no collection of features"))
+        features = whole.select(F.explode(F.coalesce(collection, F.from_json(error, f"array<struct<{_ddl_as_struct(feature)}>>"))).alias("f")).select("f.*")
+        features = features.filter(F.col("type") == "Feature")
+    found = features.select(F.explode(F.map_keys("properties")).alias("k")).distinct()
     keys = sorted(r["k"] for r in found.collect())
-    if len(keys) > MAX_PROPERTIES:
-        raise ValueError(f"more than {MAX_PROPERTIES} distinct properties")
-    columns = [F.try_element_at("properties", F.lit(k)).alias(k) for k in keys if k != "geometry"]
+    columns = [F.try_element_at("properties", F.lit(k)).alias("geometry__property" if k == "geometry" else k) for k in keys]
     return features.select(*columns, G.from_geojson(F.col("geometry"), 4326).alias("geometry"))
 
 
@@ -133,7 +166,9 @@ def load_resources(
         try:
             raw = readers[row["format"]](spark, row["source_file_path"])
         except Exception as error:  # noqa: BLE001  a bad resource must not stop the others
-            return row["resource_id"], "download", str(error)
+            # What a reader finds wrong in the rows is no failed download.
+            step = "insert" if "USER_RAISED_EXCEPTION" in str(error) else "download"
+            return row["resource_id"], step, str(error)
         try:
             raw.write.mode("overwrite").parquet(f"{root}/{row['schema']}/{row['table']}")
         except Exception as error:  # noqa: BLE001

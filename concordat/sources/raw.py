@@ -50,8 +50,10 @@ class ParquetTables:
         alike: dict[str, list[str]] = defaultdict(list)
         for key in keys:
             alike[self.spark.read.parquet(self._path(key)).schema.json()].append(self._path(key))
-        name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/([^/]+)/[^/]+$", 1)
-        table = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/([^/]+)/[^/]+$", 2)
+        # Paths of files come percent-encoded, and a plus in them stands for itself.
+        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        name = F.regexp_extract(path, r"([^/]+)/([^/]+)/[^/]+$", 1)
+        table = F.regexp_extract(path, r"([^/]+)/([^/]+)/[^/]+$", 2)
         return [
             self.spark.read.parquet(*paths).withColumn("import_table", F.concat_ws(".", name, table))
             for paths in alike.values()

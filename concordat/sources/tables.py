@@ -27,9 +27,11 @@ def write_table(df: DataFrame, name: str, if_exists: str = "replace", path: str
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the one the cluster shares; a local one only where none is set."""
+    """A new folder under the one the cluster shares; a local one only where a local session has none."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.gettempdir()
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
 
