@@ -14,6 +14,7 @@ Decoding emits the arc labels.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 from collections.abc import Iterator
@@ -21,20 +22,13 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from concordat.llm.chunks import ChunkEncoder, WordEncoder, WordSplitter
+from concordat.llm.chunks import ChunkEncoder, WordEncoder, WordSplitter, byte_symbols
 from concordat.llm.shared import vocabulary
 
 #: Transitions that the table keeps before it is filled anew.
 MEMORY_LIMIT = 500_000
 
 
-def _byte_symbols() -> list[str]:
-    """The printable stand-in of each byte: itself when it is a visible Latin-1 character, else the next above U+00FF."""
-    shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    spare = iter(range(256, 512))
-    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
-
-
 class Automaton:
     """Arcs of the compiled automaton. An arc is a token id; its label is the token's text."""
 
@@ -145,17 +139,26 @@ class BpeTokenizer:
         labels += [""] * (max(splitter.special.values(), default=-1) + 1 - len(labels))
         for label, token in splitter.special.items():
             labels[token] = label
-        symbol = dict(enumerate(_byte_symbols()))
+        symbol = dict(enumerate(byte_symbols()))
         encode = self.automaton.encode_word
         self._chunks = ChunkEncoder(WordEncoder(splitter, lambda words: (encode(w.encode().decode("latin-1").translate(symbol)) for w in words)), lower_case=True)
 
     def encode(self, text: str | None):
         return self._chunks.encode(text)
 
+    def encode_all(self, texts: pa.Array):
+        return self._chunks.encode_all(texts)
+
     def decode(self, ids) -> str:
         return self.automaton.decode(ids)
 
 
+@functools.lru_cache(maxsize=1)
+def tokenizer_of(vocabulary_json: str) -> BpeTokenizer:
+    """The compiled tokenizer, which a Python worker keeps for its next task."""
+    return BpeTokenizer(vocabulary_json)
+
+
 def encode_documents(
     docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False,
 ) -> DataFrame:
@@ -169,12 +172,12 @@ def encode_documents(
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = BpeTokenizer(vocab.value)
+        tokenizer = tokenizer_of(vocab.value)
         decimal = [str(i) for i in range(len(tokenizer.automaton.labels))]
         for batch in batches:
             counts, ids_sha, text_sha, all_ids, texts = [], [], [], [], []
-            for text in batch.column(1):
-                ids = tokenizer.encode(text.as_py()).tolist()
+            for found in tokenizer.encode_all(batch.column(1)):
+                ids = found.tolist()
                 decoded = tokenizer.decode(ids)
                 counts.append(len(ids))
                 ids_sha.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())

@@ -2,31 +2,44 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import os
-import re
 import unicodedata
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
-#: Unicode white space. str.split() also splits at the four separators U+001C to U+001F.
-_SPACE = re.compile("[\t\n\v\f\r \x85\xa0  -     　]+")
-_SEPARATORS = re.compile("[\x1c-\x1f]")
 #: Chunks kept before the cache starts anew.
 CACHE_LIMIT = 800_000
+#: Bytes of text cut at a time; a longer text is cut alone.
+SLICE_BYTES = 4 << 20
+#: Words handed to the library in one call: its cost a word rises with the length of what it is given.
+CALL_WORDS = 200
+#: A text may be put in lower case before it is cut if no mark could join a letter (they start at U+0300) and it holds no
+#: special token.
+_LATER = r"<\||[^\x00-\x{2FF}]"
 
 
-def split(text: str) -> list[str]:
-    return [x for x in _SPACE.split(text) if x] if _SEPARATORS.search(text) else text.split()
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in order, so many at a time as SLICE_BYTES hold, one at least."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE_BYTES, "right")))
+        yield texts.slice(at, end - at)
+        at = end
 
 
 class ChunkEncoder:
     """Encodes texts for tokenizers whose tokens never span white space.
 
-    encode_chunks maps new chunks to their ids. Ids live in one flat array; a text is a gather over its chunks.
+    Texts are cut at ASCII white space and their distinct chunks looked up; encode_chunks maps new chunks to their ids. Ids
+    live in one flat array; the ids of texts are a gather over their chunks.
     """
 
     def __init__(self, encode_chunks: Callable[[list[str]], list[Sequence[int]]], lower_case: bool = False, limit: int = CACHE_LIMIT):
@@ -54,22 +67,37 @@ class ChunkEncoder:
         self._used += len(flat)
         self._place.update(zip(new, range(at, at + len(new))))
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """Token ids as unsigned 32-bit integers; a null text counts as empty."""
-        text = text or ""
-        if self._lower_case and text.isascii() and "<|" not in text:
-            text = text.lower()  # what every chunk comes to; fewer differ
-        pieces = split(text)
+    def _places(self, chunks: list[str]) -> np.ndarray:
+        """Where each of the distinct chunks is kept."""
         if len(self._place) > self._limit:
             self._reset()
-        at = np.fromiter(map(self._place.get, pieces, repeat(-1)), np.int64, len(pieces))
+        at = np.fromiter(map(self._place.get, chunks, repeat(-1)), np.int64, len(chunks))
         if len(missing := np.flatnonzero(at < 0)):
-            self._learn(list(dict.fromkeys(map(pieces.__getitem__, missing.tolist()))))
-            at[missing] = [self._place[pieces[i]] for i in missing.tolist()]
+            known = len(self._place)
+            self._learn(list(map(chunks.__getitem__, missing.tolist())))
+            at[missing] = np.arange(known, known + len(missing))
+        return at
+
+    def encode_slice(self, texts: pa.Array) -> list[np.ndarray]:
+        """Token ids of each text, as unsigned 32-bit integers; a null text counts as empty."""
+        texts = pc.fill_null(texts, "")
+        if self._lower_case:
+            texts = pc.if_else(pc.match_substring_regex(texts, _LATER), texts, pc.ascii_lower(texts))  # fewer chunks differ
+        cut = pc.ascii_split_whitespace(texts)
+        coded = cut.flatten().dictionary_encode()
+        at = self._places(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
         lengths = self._length[at]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        return self._flat[np.repeat((self._start[at] - ends + lengths).astype(np.int32), lengths) + np.arange(total, dtype=np.int32)]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        ids = self._flat[np.repeat((self._start[at] - ends[:-1]).astype(np.int32), lengths) + np.arange(ends[-1], dtype=np.int32)]
+        return np.split(ids, ends[cut.offsets.to_numpy()[1:-1]])
+
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Token ids of each text; memory holds those of one slice."""
+        for part in slices(texts):
+            yield from self.encode_slice(part)
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return self.encode_slice(pa.array([text], pa.string()))[0]
 
 
 class WordSplitter:
@@ -96,7 +124,7 @@ class WordSplitter:
 
     def pieces(self, chunk: str) -> list[str | int]:
         """Words and ids of special tokens, in order."""
-        if "<|" not in chunk and "<" not in chunk or not (found := list(self._cut.finditer(chunk))):
+        if "<" not in chunk or not (found := list(self._cut.finditer(chunk))):
             return self.words(chunk)
         out: list[str | int] = []
         at = 0
@@ -115,7 +143,8 @@ class WordEncoder:
         self._words: dict[str | int, tuple[int, ...]] = {}
 
     def __call__(self, chunks: list[str]) -> list[Sequence[int]]:
-        cut = list(map(self._pieces, chunks))
+        pieces = self._pieces
+        cut = [(c,) if c.isascii() and c.isalpha() and c.islower() else pieces(c) for c in chunks]
         if len(self._words) > CACHE_LIMIT:
             self._words = {}
         known = self._words
@@ -127,35 +156,48 @@ class WordEncoder:
         return [known[pieces[0]] if len(pieces) == 1 else tuple(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in cut]
 
 
+def byte_symbols() -> list[str]:
+    """The printable stand-in of each byte: itself when it is a visible Latin-1 character, else the next above U+00FF."""
+    shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    spare = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
+
+
+@functools.lru_cache(maxsize=1)
 def library_encoder(vocabulary_json: str) -> ChunkEncoder:
     """The tokenizers library behind a chunk cache; without truncation and padding, which a file may ask for.
 
-    New words go to the library together, parted by spaces: a word ends with the one token that carries the suffix.
+    A Python worker keeps it, so that its next task neither parses the file nor encodes known words again. New words go to
+    the library together, parted by spaces: a word ends with the one token that carries the suffix.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     from tokenizers import Tokenizer, pre_tokenizers
 
     spec = json.loads(vocabulary_json) | {"truncation": None, "padding": None}
-    tokenizer = Tokenizer.from_str(json.dumps(spec))
     suffix = spec["model"].get("end_of_word_suffix")
     if not suffix:
+        tokenizer = Tokenizer.from_str(json.dumps(spec))
         return ChunkEncoder(lambda new: [tokenizer.encode(x, add_special_tokens=False).ids for x in new])
     vocab = spec["model"]["vocab"]
-    # Words are normalised and cut already.
+    # Words are normalised, cut and spelled in byte symbols already.
     tokenizer = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}))
-    tokenizer.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    tokenizer.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    symbols = {byte: symbol for byte, symbol in enumerate(byte_symbols()) if byte != ord(" ")}
     closes = np.zeros(max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]) + 1, bool)
     closes[[i for label, i in vocab.items() if label.endswith(suffix)]] = True
 
-    def encode_words(words: list[str]) -> list[list[int]]:
-        if not words:
-            return []
-        (found,) = tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
-        ids = np.array(found.ids)
-        ends = np.flatnonzero(closes[ids]) + 1
-        if len(ends) != len(words):
-            return [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
-        ids, ends = ids.tolist(), ends.tolist()
-        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    def ids_of(words: list[str]) -> list[int]:
+        (found,) = tokenizer.encode_batch_fast([" ".join(words).encode().decode("latin-1").translate(symbols)], add_special_tokens=False)
+        return found.ids
+
+    def encode_words(words: list[str]) -> Iterator[list[int]]:
+        for at in range(0, len(words), CALL_WORDS):
+            some = words[at : at + CALL_WORDS]
+            ids = ids_of(some)
+            ends = (np.flatnonzero(closes[ids]) + 1).tolist()
+            if len(ends) == len(some):
+                yield from (ids[a:b] for a, b in zip([0, *ends], ends, strict=False))
+            else:
+                yield from (ids_of([w]) for w in some)
 
     return ChunkEncoder(WordEncoder(WordSplitter(spec), encode_words), lower_case=True)

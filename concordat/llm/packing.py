@@ -148,8 +148,8 @@ def pack_documents(
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.append(encoder.encode(text.as_py()), np.uint32(end_id))
+            for key, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1)), strict=True):
+                ids = np.append(ids, np.uint32(end_id))
                 keys.append(key)
                 texts.append(ids)
                 held += len(ids)

@@ -81,8 +81,7 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], [c.split()[0] for c in schema.split(", ")])
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encoder.encode(text.as_py())
+            for key, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1)), strict=True):
                 if end_id is not None:
                     ids = np.append(ids, np.uint32(end_id))
                 if held and size + len(ids) > BLOCK_IDS:

@@ -68,7 +68,7 @@ def ids_of(text):
 def test_automaton_and_chunks_encode_like_the_library():
     r = random.Random(3)
     own, cached = BpeTokenizer(CONTENT), library_encoder(CONTENT)
-    letters = "aaaaeiotn'strelld 0123.,!?éΣİ\n\tßẞ日本語́\x1cA<|>"
+    letters = "aaaaeiotn'strelld \xa0\x85\u2028\u0331\u0307HIJé 0123.,!?éΣİ\n\tßẞ日本語́\x1cA<|>"
     for i in range(3000):
         text = "".join(r.choice(letters) for _ in range(r.randint(0, 40))) + ("<|endoftext|>" if i % 50 == 0 else "")
         wanted = LIBRARY.encode(text, add_special_tokens=False).ids
