@@ -14,8 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-#: Chunks kept before the cache starts anew.
-CACHE_LIMIT = 800_000
+#: Chunks, and words, kept before a cache starts anew: some 100 MB in a worker.
+CACHE_LIMIT = 400_000
 #: Bytes of text cut at a time; a longer text is cut alone.
 SLICE_BYTES = 4 << 20
 #: Words handed to the library in one call: its cost a word rises with the length of what it is given.
