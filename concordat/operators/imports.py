@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from concordat.functions.casts import blank_to_null
 from concordat.names import Names
 from concordat.operators.catalog import iso
+from concordat.operators.dedupe import first_per_key
 
 # Roles that are imported, and defaults for blank fields.
 IMPORTED_ROLES = ("source", "perimetre")
@@ -29,6 +30,9 @@ USE_CASES = {
     "eaupotable": ("eaupot", "eaupotable"),
     "eclairage_public": ("eclpub", "eclairage_public"),
 }
+# Columns of the catalogue that name a resource in the state, before the step and the environment.
+RESOURCE_KEY = ("org_name", "ds_name", "name", "id")
+STEPS = ("download", "insert")
 # Format of a resource -> the step that reads it.
 READERS = {"csv": "read_delimited", "geojson": "read_geojson", "parquet": "read_parquet"}
 
@@ -43,7 +47,7 @@ def _message(condition: Column, status: str, text: Column) -> Column:
 
 
 def resource_key(step: str, environment: str) -> Column:
-    return F.concat_ws("/", "org_name", "ds_name", "name", "id", F.lit(step), F.lit(environment))
+    return F.concat_ws("/", *RESOURCE_KEY, F.lit(step), F.lit(environment))
 
 
 def owner_id(siren: Column, org_id: Column, org_name: Column) -> Column:
@@ -89,19 +93,13 @@ def plan_imports(
             F.lower(F.coalesce("format", F.regexp_extract("name", r"\.([^.]*)$", 1))).alias("format"),
             stamp.alias("last_changed"),
             F.when(stamp.isNotNull(), iso(F.col("ds_metadata_created"))).alias("added"),
+            F.concat_ws("/", *RESOURCE_KEY).alias("__base"),
         )
-        .withColumns({f"__{s}_key": resource_key(s, environment) for s in ("download", "insert")})
+        .join(_seen(state, environment), "__base", "left")
+        .withColumns({
+            f"__{s}_changed": ~F.coalesce(F.col(f"__{s}_seen") == F.col("last_changed"), F.lit(False)) for s in STEPS
+        })
     )
-
-    for step in ("download", "insert"):
-        seen = state.select(
-            F.col("resource_key").alias(f"__{step}_key"),
-            F.col("timestamp").alias(f"__{step}_seen"),
-            F.col("status").alias(f"__{step}_status"),
-        )
-        prepared = prepared.join(seen, f"__{step}_key", "left").withColumn(
-            f"__{step}_changed", ~F.coalesce(F.col(f"__{step}_seen") == F.col("last_changed"), F.lit(False))
-        )
     prepared = _with_outcomes(prepared, outcomes)
 
     archived = F.col(names.target) == ARCHIVE
@@ -173,6 +171,21 @@ def plan_imports(
     return reported.select(*names.report)
 
 
+def _seen(state: DataFrame, environment: str) -> DataFrame:
+    """The kept state with one row per resource: ``__<step>_seen`` and ``__<step>_status``."""
+    parts = []
+    for step in STEPS:
+        end = f"/{step}/{environment}"
+        mine = F.col("resource_key").endswith(end)
+        base = F.substring("resource_key", F.lit(1), F.length("resource_key") - len(end))
+        parts.append(F.when(mine, F.struct(base.alias("__base"), F.lit(step).alias("step"), "timestamp", "status")))
+    kept = state.select(F.coalesce(*parts).alias("s")).filter(F.col("s").isNotNull()).select("s.*")
+    return kept.groupBy("__base").agg(*[
+        F.min(F.when(F.col("step") == step, F.col(c))).alias(f"__{step}_{n}")
+        for step in STEPS for c, n in (("timestamp", "seen"), ("status", "status"))
+    ])
+
+
 def _roll_up(messages: Column) -> Column:
     has = lambda s: F.exists(messages, lambda m: m["status"] == s)
     return F.when(has("error"), "error").when(has("skipped"), "skipped").otherwise("success")
@@ -205,28 +218,19 @@ def next_state(state: DataFrame, report: DataFrame, environment: str = "prod", n
     """The state after a run: steps that ran replace what was kept for the same resource.
 
     A failed download is kept with its message as status; a failed insert is not kept, so it is
-    tried again.
+    tried again. The report is read once, and each key keeps one row.
     """
-    keyed = report.select(
-        F.concat_ws("/", "org_name", "dataset_name", "resource_name", "resource_id").alias("__base"),
-        "last_changed", "status", "step", names.target,
-        F.from_json("messages", "array<struct<status string, text string>>").alias("__messages"),
-    )
-    failure = F.get(
-        F.filter("__messages", lambda m: m["text"].startswith("while downloading, ")), F.lit(0)
-    )["text"]
-    downloads = keyed.filter(F.col(names.target) != ARCHIVE).select(
-        F.concat_ws("/", "__base", F.lit("download"), F.lit(environment)).alias("resource_key"),
-        F.col("last_changed").alias("timestamp"),
-        F.coalesce(F.regexp_replace(failure, "^while downloading, ", ""), F.lit("success")).alias("status"),
-    )
-    inserts = keyed.filter(
-        (F.col("status") == "success") & ~F.col("step").isin("prepare", "no change, skipped")
-    ).select(
-        F.concat_ws("/", "__base", F.lit("insert"), F.lit(environment)).alias("resource_key"),
-        F.col("last_changed").alias("timestamp"),
-        F.lit("success").alias("status"),
-    )
-    fresh = downloads.unionByName(inserts)
-    kept = state.join(fresh.select("resource_key"), "resource_key", "left_anti")
-    return kept.select("resource_key", "timestamp", "status").unionByName(fresh)
+    base = F.concat_ws("/", "org_name", "dataset_name", "resource_name", "resource_id")
+    messages = F.from_json("messages", "array<struct<status string, text string>>")
+    failure = F.get(F.filter(messages, lambda m: m["text"].startswith("while downloading, ")), F.lit(0))["text"]
+    found = F.coalesce(F.regexp_replace(failure, "^while downloading, ", ""), F.lit("success"))
+    inserted = (F.col("status") == "success") & ~F.col("step").isin("prepare", "no change, skipped")
+
+    def kept(step: str, when: Column, status: Column) -> Column:
+        key = F.concat_ws("/", base, F.lit(step), F.lit(environment))
+        return F.when(when, F.struct(key.alias("resource_key"), F.col("last_changed").alias("timestamp"), status.alias("status")))
+
+    ran = F.array(kept("download", F.col(names.target) != ARCHIVE, found), kept("insert", inserted, F.lit("success")))
+    fresh = report.select(F.explode(F.array_compact(ran)).alias("s")).select("s.*", F.lit(0).alias("__age"))
+    old = state.select("resource_key", "timestamp", "status", F.lit(1).alias("__age"))
+    return first_per_key(fresh.unionByName(old), "resource_key", [F.col("__age")], {"__age"}).drop("__age")
