@@ -16,7 +16,7 @@ from concordat.llm.substring_dedup import drop_repeats
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language: a text that is null or holds no letter goes."""
+    """Documents in a language that the classifier knows: it has to tell the winner from the second by a margin."""
     return keep_languages(docs)
 
 

@@ -148,6 +148,26 @@ def test_languages(docs, empty):
     assert predict_languages(empty).count() == 0 and keep_languages(empty).columns == empty.columns
 
 
+def test_language_decisions_take_effect(spark):
+    r = random.Random(8)
+    syllables = {
+        "en": "the ing er on an re", "fr": "é ou eau ment que la", "de": "sch ung ein ü der ich", "es": "ción ñ os el rr ado", "fi": "kk ää yt uo jä nn",
+    }
+
+    def text(lang):
+        return " ".join("".join(r.choice(syllables[lang].split()) for _ in range(r.randint(1, 4))) for _ in range(60))
+
+    rows = [(k, text(lang), lang) for k, lang in enumerate(["en", "fr", "de", "es"] * 40)]
+    noise = {
+        1000: text("fi"), 1001: text("fi"), 1002: "| 12 | 7 | x |\n" * 40, 1003: '<td class="q1">77</td>' * 30,
+        1004: " ".join(f"{r.getrandbits(64):x}" for _ in range(60)), 1005: "быстрая лиса бежит домой " * 8, 1006: None, 1007: "12 ...",
+    }
+    frame = spark.createDataFrame([*rows, *((i, t, None) for i, t in noise.items())], "doc_id long, text string, lang string").repartition(3)
+    assert Counter(r["doc_id"] for r in keep_languages(frame).collect()) == Counter(i for i, *_ in rows)
+    assert {r["doc_id"] for r in keep_languages(frame, ["fr", "es"]).collect()} == {i for i, _, lang in rows if lang in ("fr", "es")}
+    assert Counter(r["doc_id"] for r in corpus_pipeline.language(spark, frame, "").collect()) == Counter(i for i, *_ in rows)
+
+
 def brute_measures(text):
     words = [w for w in (text or "").replace("\t", " ").replace("\n", " ").split(" ") if w]
     seen = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
