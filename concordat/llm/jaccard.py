@@ -44,6 +44,10 @@ def shingles(text: bytes, hashes: WordHashes, width: int) -> np.ndarray:
     return np.unique(runs(words, min(width, len(words))) + np.uint64(min(width, len(words))))
 
 
+def set_key(elements: np.ndarray) -> bytes:
+    return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
+
+
 def linked(size_a: int, size_b: int, shared: int, percent: int) -> bool:
     return 100 * shared >= percent * (size_a + size_b - shared)
 
@@ -169,18 +173,13 @@ def _scan(keys: list[str], percent: int, again: bool):
     return run
 
 
-def jaccard_components(
+def _labelled(
     docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles and component_id, the smallest id that links reach, itself included.
-
-    Two documents are linked when 100 * shared >= percent * (size of the union of their shingle sets). A null text, or one
-    without words, has no shingles and links with nothing. A row with a null id belongs to the component of its equals,
-    or to none. Rows that repeat an id each count as documents. An empty table gives no rows. Ids are whole numbers;
-    shingles are told apart by 64-bit hashes.
-    """
+    """jaccard_components, and mark, a hash of the text, and part, which names the component; part is null without shingles."""
     spark = docs.sparkSession
     work = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("bytes"))
+    work = work.withColumn("mark", F.xxhash64("bytes"))
     common = spark.sparkContext.broadcast(rarity(work, width))  # SLOTS numbers
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +190,7 @@ def jaccard_components(
                 own = shingles(text.as_py() or b"", hashes, width)
                 n = len(own)
                 sizes.append(n)
-                keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if n else None)
+                keys.append(set_key(own) if n else None)
                 # Capping a count can only bring two sketches closer.
                 sketches.append(np.minimum(np.bincount((own % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes())
                 prefixes.append(own[np.lexsort((own, common.value[_slot(own)]))[: prefix_length(n, percent)]].astype(np.int64) if n else np.empty(0, np.int64))
@@ -201,15 +200,15 @@ def jaccard_components(
                 return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(y) for y in x])]).astype(np.int32)), pa.array(np.concatenate([np.empty(0, np.int64), *x])))
 
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary()), lists(prefixes), lists(light)],
-                ["doc_id", "n", "key", "sketch", "prefix", "light"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary()), lists(prefixes), lists(light), batch.column(2)],
+                ["doc_id", "n", "key", "sketch", "prefix", "light", "mark"])
 
-    described = stored(work.mapInArrow(describe, "doc_id bigint, n bigint, key binary, sketch binary, prefix array<bigint>, light array<bigint>"), "shingle-sets")
+    described = stored(work.mapInArrow(describe, "doc_id bigint, n bigint, key binary, sketch binary, prefix array<bigint>, light array<bigint>, mark bigint"), "shingle-sets")
     classes = described.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("id"))
     classes = stored(classes, "shingle-classes")
     # Of rows that repeat an id with one text, one stands for the class.
     heads = described.join(classes, [described["key"] == classes["key"], described["doc_id"] == classes["id"]], "left_semi").dropDuplicates(["key"])
-    heads = stored(heads.select(F.xxhash64("key").alias("id"), "n", "sketch", "prefix", "light", F.col("doc_id").alias("first"), "key"), "shingle-heads")
+    heads = stored(heads.select(F.xxhash64("key").alias("id"), "n", "sketch", "prefix", "light", F.col("doc_id").alias("first"), "mark", "key"), "shingle-heads")
     counts = {r[0]: r[1] for r in heads.where("n <= 64").groupBy("n").count().collect()}
     edge = boundary(counts, percent)
 
@@ -257,16 +256,18 @@ def jaccard_components(
         """Those of the pairs that are linked, by comparing their sets in full."""
         pairs = stored(pairs.distinct(), f"{name}-pairs")
         needed = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        texts = heads.join(needed, "id", "left_semi").select("id", F.col("key").alias("head"), "first")
+        texts = heads.join(needed, "id", "left_semi").select("id", F.col("key").alias("head"), "first", F.col("mark").alias("first_mark"))
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = WordHashes()
             for batch in batches:
-                own = [squeeze(shingles(t.as_py() or b"", hashes, width)) for t in batch.column(1)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], ["id", "elements"])
+                sets_of = [shingles(t.as_py() or b"", hashes, width) for t in batch.column(1)]
+                # A row that repeats the id with another text is told by its key, the hash of its elements.
+                same = pa.array([set_key(own) == head.as_py() for own, head in zip(sets_of, batch.column(2), strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(squeeze, sets_of), pa.binary())], ["id", "elements"]).filter(same)
 
-        found = work.join(texts, work["doc_id"] == texts["first"]).select("id", "bytes").mapInArrow(sets, "id bigint, elements binary")
-        # A row that repeats the id with another text is told by its key, the hash of its elements.
+        one = (work["doc_id"] == texts["first"]) & (work["mark"] == texts["first_mark"])
+        found = work.join(texts, one).select("id", "bytes", "head").mapInArrow(sets, "id bigint, elements binary")
         found = stored(found, f"{name}-sets").dropDuplicates(["id", "elements"])
         both = pairs.join(found.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a").join(found.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b")
 
@@ -289,23 +290,41 @@ def jaccard_components(
         links = links.union(checked(scan_long(known.join(mixed, tile, "left_semi"), True), "second"))
         reached = components(links, "components")
     firsts = reached.join(heads.select("id", "first"), F.col("node") == F.col("id")).groupBy("component").agg(F.min("first").alias("component_id"))
-    named = reached.join(firsts, "component").select(F.col("node").alias("id"), "component_id")
-    per_key = heads.join(named, "id", "left").select(F.col("key").alias("head"), F.coalesce("component_id", "first").alias("component_id"))
-    out = described.select("doc_id", "n", "key").join(per_key, F.col("key") == F.col("head"), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = reached.join(firsts, "component").select(F.col("node").alias("id"), "component", "component_id")
+    per_key = heads.join(named, "id", "left").select(F.col("key").alias("head"), F.coalesce("component_id", "first").alias("component_id"), F.coalesce("component", "id").alias("part"))
+    out = described.select("doc_id", "n", "key", "mark").join(per_key, F.col("key") == F.col("head"), "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "mark", "part")
+
+
+def jaccard_components(
+    docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles and component_id, the smallest id that links reach, itself included.
+
+    Two documents are linked when 100 * shared >= percent * (size of the union of their shingle sets). A null text, or one
+    without words, has no shingles and links with nothing. A row with a null id belongs to the component of its equals,
+    or to none. Rows that repeat an id each count as documents. An empty table gives no rows. Ids are whole numbers;
+    shingles are told apart by 64-bit hashes.
+    """
+    return _labelled(docs, percent, width, id_col, text_col).drop("mark", "part")
 
 
 def keep_one(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents less all but one of each component, the one with the smallest id; columns are carried by place.
 
-    Rows that repeat an id and its text become one. Texts without words, and null ids without equals, all stay.
+    Of texts that share the smallest id one stays, the one with the least hash. Another text of an id that goes is judged
+    by itself. Rows that repeat an id and its text become one. Texts without words, and null ids without equals, all stay.
     """
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key, text = F.col(f"c{names.index(id_col)}"), F.col(f"c{names.index(text_col)}")
-    found = jaccard_components(plain, percent, width, f"c{names.index(id_col)}", f"c{names.index(text_col)}")
-    last = found.where("n_shingles > 0 AND NOT (doc_id <=> component_id)").select(F.coalesce("doc_id", F.lit(None)).alias("gone"), "n_shingles").distinct()
+    found = _labelled(plain, percent, width, f"c{names.index(id_col)}", f"c{names.index(text_col)}")
+    found = stored(found.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "mark", "part"), "labelled")
+    first = found.groupBy("part").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.count("*").alias("members")).where("members > 1")
+    gone = found.join(first, "part").where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("mark") != F.col("first.mark")))
+    gone = gone.select(F.col("doc_id").alias("gone"), F.col("mark").alias("gone_mark")).distinct()
     wordless = ~F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    rest = plain.where(~wordless).join(last.where("gone IS NOT NULL").select("gone").distinct(), key == F.col("gone"), "left_anti")
-    named = rest.where(key.isNotNull()).withColumn("same", F.xxhash64(text)).dropDuplicates([f"c{names.index(id_col)}", "same"]).drop("same")
-    return plain.where(wordless).union(named).union(rest.where(key.isNull())).toDF(*names)
+    rest = plain.where(~wordless).withColumn("mark", F.xxhash64(text.cast("binary")))
+    rest = rest.join(gone, (key == F.col("gone")) & (F.col("mark") == F.col("gone_mark")), "left_anti")
+    named = rest.where(key.isNotNull()).dropDuplicates([f"c{names.index(id_col)}", "mark"])
+    return plain.where(wordless).union(named.drop("mark")).union(rest.where(key.isNull()).drop("mark")).toDF(*names)

@@ -254,6 +254,24 @@ def test_one_of_each_group_stays(docs, empty):
     assert keep_one(empty).count() == 0
 
 
+@pytest.mark.parametrize(("width", "percent"), [(3, 90), (5, 80)])
+def test_ids_with_several_texts(spark, width, percent):
+    texts = list(TEXTS)
+    for k in range(60):  # each id has a near copy of a heavy text, and another text of its own
+        words = sentence(800 + k % 4, 90).split()
+        words[-1] = f"edit{k}"
+        texts += [(200 + k, " ".join(words)), (200 + k, sentence(2000 + k, 90))]
+    texts += [(5, sentence(4000, 70)), (4, sentence(4000, 70)), (300, sentence(5000, 90)), (300, sentence(5000, 89) + " odd")]
+    frame = spark.createDataFrame(rows_of(texts), SCHEMA).repartition(5)
+    assert Counter(tuple(x) for x in jaccard_components(frame, percent, width).collect()) == brute_components(texts, width, percent)
+    left = Counter((i, t) for i, t, *_ in keep_one(frame, percent, width).collect() if i is not None)
+    assert left[4, sentence(4000, 70)] == 1 and not left[5, sentence(4000, 70)]
+    assert left[5, sentence(5, 40)] == 1 and left[5, TEXTS[4][1]] == 1
+    assert all(left[200 + k, sentence(2000 + k, 90)] == 1 for k in range(60))
+    assert [sum(n for (i, t), n in left.items() if i == 200 + k) for k in range(60)] == [2] * 4 + [1] * 56
+    assert sum(n for (i, _), n in left.items() if i == 300) == 1
+
+
 def test_repeated_passages(docs, empty):
     rows = duplicate_spans(docs).collect()
     first = {}
