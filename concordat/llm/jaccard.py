@@ -204,10 +204,10 @@ def _labelled(
                 ["doc_id", "n", "key", "sketch", "prefix", "light", "mark"])
 
     described = stored(work.mapInArrow(describe, "doc_id bigint, n bigint, key binary, sketch binary, prefix array<bigint>, light array<bigint>, mark bigint"), "shingle-sets")
-    classes = described.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("id"))
+    classes = described.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("id"))
     classes = stored(classes, "shingle-classes")
-    # Of rows that repeat an id with one text, one stands for the class.
-    heads = described.join(classes, [described["key"] == classes["key"], described["doc_id"] == classes["id"]], "left_semi").dropDuplicates(["key"])
+    # Of rows that repeat an id with one text, one stands for the class; a null id stands for those without any other.
+    heads = described.join(classes, [described["key"] == classes["key"], described["doc_id"].eqNullSafe(classes["id"])], "left_semi").dropDuplicates(["key"])
     heads = stored(heads.select(F.xxhash64("key").alias("id"), "n", "sketch", "prefix", "light", F.col("doc_id").alias("first"), "mark", "key"), "shingle-heads")
     counts = {r[0]: r[1] for r in heads.where("n <= 64").groupBy("n").count().collect()}
     edge = boundary(counts, percent)
@@ -266,7 +266,7 @@ def _labelled(
                 same = pa.array([set_key(own) == head.as_py() for own, head in zip(sets_of, batch.column(2), strict=True)], pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(squeeze, sets_of), pa.binary())], ["id", "elements"]).filter(same)
 
-        one = (work["doc_id"] == texts["first"]) & (work["mark"] == texts["first_mark"])
+        one = work["doc_id"].eqNullSafe(texts["first"]) & (work["mark"] == texts["first_mark"])
         found = work.join(texts, one).select("id", "bytes", "head").mapInArrow(sets, "id bigint, elements binary")
         found = stored(found, f"{name}-sets").dropDuplicates(["id", "elements"])
         both = pairs.join(found.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a").join(found.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b")
@@ -302,8 +302,8 @@ def jaccard_components(
     """One row per document: doc_id, n_shingles and component_id, the smallest id that links reach, itself included.
 
     Two documents are linked when 100 * shared >= percent * (size of the union of their shingle sets). A null text, or one
-    without words, has no shingles and links with nothing. A row with a null id belongs to the component of its equals,
-    or to none. Rows that repeat an id each count as documents. An empty table gives no rows. Ids are whole numbers;
+    without words, has no shingles and links with nothing. A row with a null id is a document like others; a component
+    of null ids only has a null id. Rows that repeat an id each count as documents. An empty table gives no rows. Ids are whole numbers;
     shingles are told apart by 64-bit hashes.
     """
     return _labelled(docs, percent, width, id_col, text_col).drop("mark", "part")
@@ -313,18 +313,18 @@ def keep_one(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "
     """The documents less all but one of each component, the one with the smallest id; columns are carried by place.
 
     Of texts that share the smallest id one stays, the one with the least hash. Another text of an id that goes is judged
-    by itself. Rows that repeat an id and its text become one. Texts without words, and null ids without equals, all stay.
+    by itself. A null id counts as the largest. Rows that repeat an id and its text become one. Texts without words all stay.
     """
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key, text = F.col(f"c{names.index(id_col)}"), F.col(f"c{names.index(text_col)}")
     found = _labelled(plain, percent, width, f"c{names.index(id_col)}", f"c{names.index(text_col)}")
-    found = stored(found.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "mark", "part"), "labelled")
-    first = found.groupBy("part").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.count("*").alias("members")).where("members > 1")
-    gone = found.join(first, "part").where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("mark") != F.col("first.mark")))
+    found = stored(found.where("n_shingles > 0").select("doc_id", "mark", "part"), "labelled")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark"))
+    first = found.groupBy("part").agg(least.alias("first"), F.count("*").alias("members")).where("members > 1")
+    gone = found.join(first, "part").where(~F.col("doc_id").eqNullSafe(F.col("first.doc_id")) | (F.col("mark") != F.col("first.mark")))
     gone = gone.select(F.col("doc_id").alias("gone"), F.col("mark").alias("gone_mark")).distinct()
     wordless = ~F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     rest = plain.where(~wordless).withColumn("mark", F.xxhash64(text.cast("binary")))
-    rest = rest.join(gone, (key == F.col("gone")) & (F.col("mark") == F.col("gone_mark")), "left_anti")
-    named = rest.where(key.isNotNull()).dropDuplicates([f"c{names.index(id_col)}", "mark"])
-    return plain.where(wordless).union(named.drop("mark")).union(rest.where(key.isNull()).drop("mark")).toDF(*names)
+    rest = rest.join(gone, key.eqNullSafe(F.col("gone")) & (F.col("mark") == F.col("gone_mark")), "left_anti")
+    return plain.where(wordless).union(rest.dropDuplicates([f"c{names.index(id_col)}", "mark"]).drop("mark")).toDF(*names)

@@ -254,6 +254,20 @@ def test_one_of_each_group_stays(docs, empty):
     assert keep_one(empty).count() == 0
 
 
+def test_null_ids_are_documents(spark, docs):
+    left = Counter((i, t) for i, t, *_ in keep_one(docs).collect())
+    assert not left[None, sentence(1, 120)] and left[1, sentence(1, 120)] == 1  # TEXTS holds it with a null id
+    assert left[None, sentence(14, 50)] == 1 and left[None, None] == 1
+    chain = sentence(6000, 60).split()  # 400 and 401 are linked only by a null id between them
+    texts = [(400, " ".join(chain)), (None, " ".join([*chain[:-5], *"abcde"])), (401, " ".join([*"vwxyz", *chain[5:-5], *"abcde"]))]
+    texts += [(None, sentence(6001, 60)), (None, sentence(6001, 60)), (None, sentence(6001, 59) + " odd"), (None, sentence(6002, 60)), (None, " "), (None, " ")]
+    frame = spark.createDataFrame(rows_of(texts), SCHEMA).repartition(3)
+    assert Counter(tuple(x) for x in jaccard_components(frame, 80, 5).collect()) == brute_components(texts, 5, 80)
+    left = Counter((i, t) for i, t, *_ in keep_one(frame).collect())
+    assert left[400, texts[0][1]] == 1 and left[None, sentence(6002, 60)] == 1 and left[None, " "] == 2
+    assert left[None, sentence(6001, 60)] + left[None, sentence(6001, 59) + " odd"] == 1 and sum(left.values()) == 5
+
+
 @pytest.mark.parametrize(("width", "percent"), [(3, 90), (5, 80)])
 def test_ids_with_several_texts(spark, width, percent):
     texts = list(TEXTS)
