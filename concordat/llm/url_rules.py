@@ -7,6 +7,7 @@ consequent is a verdict are kept at the given support and confidence and indexed
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -53,8 +54,19 @@ def url_items(url: Column, host: Column, path: Column) -> Column:
     return F.array_sort(F.array_distinct(F.concat(labels, segments, keys)))
 
 
-def mine_rules(labelled: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
-    """(items, said, confidence, support) of the rules that FP-growth finds in labelled(items, verdict)."""
+def stated_items(rules: Sequence[Rule]) -> list[str]:
+    """The host labels and path segments that the stated rules name, as items."""
+    hosts = [f"host:{x}" for _, h, _ in rules for x in h.split(".") if x]
+    return sorted({*hosts, *(f"path:{re.sub('[0-9]+', '0', x)}" for _, _, p in rules for x in re.split("[/._-]", p) if x)})
+
+
+def mine_rules(labelled: DataFrame, min_support: float, min_confidence: float, stated: Sequence[str] = ()) -> DataFrame:
+    """(items, said, confidence, support) of the rules that FP-growth finds in labelled(items, verdict).
+
+    Items in stated are left out: they agree with the labels of the stated rules by construction, alone or beside any other.
+    """
+    rest = F.array_except("items", F.array(*map(F.lit, stated)).cast("array<string>"))
+    labelled = labelled.select(rest.alias("items"), "verdict").where(F.size("items") > 0)
     baskets = labelled.select(F.array_append("items", F.concat(F.lit(VERDICT), "verdict")).alias("items"))
     rules = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets).associationRules
     said = F.col("consequent")[0]
@@ -68,7 +80,7 @@ def filter_urls(
 ) -> DataFrame:
     """One row per page: page_id, host, path, rule (host and path of the stated rule, else null), verdict, and items.
 
-    Without a stated rule the mined rule of the highest confidence decides; ties go to the higher support, then to more
+    The hosts and paths of the stated rules are not mined. Without a stated rule the mined rule of the highest confidence decides; ties go to the higher support, then to more
     items, then to block. Without any the default holds, as for a null URL or one without ://. Rows are neither merged
     nor dropped; a null id stays null; an empty table gives no rows; with no labelled page nothing is mined.
     """
@@ -82,7 +94,7 @@ def filter_urls(
     labelled = judged.where(F.col("stated").isNotNull() & (F.size("items") > 0)).select("items", F.col("stated").alias("verdict"))
     if labelled.isEmpty():
         return judged.select("page_id", "host", "path", "rule", F.coalesce("stated", F.lit(default)).alias("verdict"), "items")
-    mined = mine_rules(labelled, min_support, min_confidence)
+    mined = mine_rules(labelled, min_support, min_confidence, stated_items(rules))
     sets = judged.where(F.col("stated").isNull() & (F.size("items") > 0)).groupBy("items").agg(F.count("*").alias("n"))
     uses = sets.select(F.explode("items").alias("item"), "n").groupBy("item").agg(F.sum("n").alias("uses"))
     # Each rule is listed under its rarest item, so a common item brings up few rules.

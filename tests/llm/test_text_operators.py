@@ -393,6 +393,16 @@ def test_urls(spark):
     assert filter_urls(frame.limit(0), RULES).count() == 0
 
 
+def test_halves_of_stated_rules_block_nothing(spark):
+    urls = [f"http://s{k}.net/{lang}/{w}" for k in range(40) for lang in ("es", "fr") for w in ("news", "buy")] + [f"http://a.example.com/en/{k}" for k in range(60)]
+    urls += [f"http://www.example.com/en/news/{k}" for k in range(40)] + [f"http://t{k}.com/de/news" for k in range(40)]
+    asked = {"http://plain.net/de/": "allow", "http://plain.org/en/": "allow", "http://q.net/de/news": "allow", "http://q.org/en/news": "allow", "http://plain.org/de/buy": "block"}
+    rules = (*RULES, ("block", "net", "/fr/"))
+    frame = spark.createDataFrame(list(enumerate([*urls, *asked])), "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in filter_urls(frame, rules).collect()}
+    assert {u: got[len(urls) + k] for k, u in enumerate(asked)} == asked and len(got) == len(urls) + len(asked)
+
+
 def test_pipeline_stages_keep_columns(spark, docs, empty):
     for frame in (docs, empty):
         for name, stage in corpus_pipeline.STAGES:
