@@ -410,3 +410,41 @@ def test_pipeline_stages_keep_columns(spark, docs, empty):
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert frame.columns == docs.columns
         frame.count()
+
+
+def test_pipeline_against_plain_python(spark, tmp_path):
+    r = random.Random(12)
+    pool = {lang: s.split() for lang, s in {"en": "the ing er on an re", "fr": "é ou eau ment que la", "fi": "kk ää yt uo jä nn"}.items()}
+
+    def text(lang, count=70):
+        return " ".join("".join(r.choice(pool[lang]) for _ in range(r.randint(1, 4))) for _ in range(count))
+
+    passage = text("en", 30)
+    texts = [(k, text(lang), lang) for k, lang in enumerate(["en", "fr"] * 30)]
+    texts += [(100, passage + " " + text("en"), "en"), (101, text("en") + " " + passage, "en"), (102, texts[0][1], "en")]
+    texts += [(103, " ".join([*texts[1][1].split()[:-1], "ou"]), "fr"), (104, text("en", 8), "en"), (105, "the ing " * 60, "en")]
+    bad_language = [(106, text("fi"), None), (107, "| 12 | x |\n" * 40, None), (108, None, None), (109, "12 34", None)]
+    spark.createDataFrame([(*x, "s", len(x[1] or "")) for x in [*texts, *bad_language]], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    left = []  # language verdicts are known by construction
+    counted = Counter(quality.votes(quality.measure(t.encode())[1]) for _, t, _ in texts)
+    posterior = quality.label_model(counted)
+    for i, t, _ in texts:
+        n, *_, repeated = brute_measures(t)
+        if n >= 20 and 100 * repeated <= 30 * n and posterior[quality.votes(quality.measure(t.encode())[1])] >= 0.5:
+            left.append((i, t))
+    assert {i for i, _ in left} == {i for i, *_ in texts} - {104, 105}
+    left = [(i, t) for i, t in left if (i, len(shingle_set(t, 5)), i) in brute_components(left, 5, 80)]
+    assert {102, 103}.isdisjoint(i for i, _ in left)
+    first, wanted = {}, {}
+    for i, t in sorted(left):
+        w = t.split()
+        keep = [True] * len(w)
+        for k in range(len(w) - 12):
+            if first.setdefault(tuple(w[k : k + 13]), i) < i:
+                keep[k : k + 13] = [False] * 13
+        wanted[i] = [*ids_of(t if all(keep) else " ".join(x for x, y in zip(w, keep, strict=True) if y)), 2]
+    assert len(wanted[101]) < len(ids_of(texts[61][1]))
+    pieces = defaultdict(list)
+    for row in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        pieces[row["doc_id"]].append((row["start"], row["ids"]))
+    assert {i: [x for _, ids in sorted(parts) for x in ids] for i, parts in pieces.items()} == wanted
