@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -1246,6 +1246,80 @@ def geojson_files(spark, sf_dir):
     return done.select("id", "nom", F.round(F.col("geometry.parts")[0][0][0]["x"], 6).alias("x"))
 
 
+def _collections(features: DataFrame, by: str, path: str, gap: str = " ", head: Column | None = None, tail: Column | None = None) -> None:
+    """One collection for each value of a column: the features, commas between them, under a head and over a tail."""
+    head = F.lit('{"type": "FeatureCollection", "features": [') if head is None else head
+    tail = F.lit('], "name": "all"}') if tail is None else tail
+    order = F.row_number().over(Window.partitionBy(by).orderBy("id"))
+    rows = features.withColumn("place", order).select(by, "place", F.concat(F.when(F.col("place") > 1, ", ").otherwise(""), "feature").alias("value"))
+    names = features.select(by).distinct()
+    ends = [names.select(by, F.lit(place).alias("place"), what.alias("value")) for place, what in ((0, head), (2**31 - 1, tail))]
+    rows = rows.unionByName(ends[0]).unionByName(ends[1]).filter("value IS NOT NULL").repartition(by).sortWithinPartitions(by, "place")
+    rows.select(by, "value").write.partitionBy(by).option("lineSep", gap).text(path)
+
+
+def _customer_features(spark, sf_dir, pretty: bool = False) -> DataFrame:
+    x = (F.col("c_custkey") % 90).cast("double")
+    ring = F.array(*[F.array(x + dx, F.lit(y)) for dx, y in ((0, 40.0), (1, 40.0), (0, 41.0), (0, 40.0))])
+    names = F.struct(text("c_custkey").alias("id"), F.concat(F.lit('"Été", {'), "c_name").alias("nom"))
+    feature = F.struct(
+        F.lit("Feature").alias("type"), names.alias("properties"),
+        F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+    options = {"pretty": "true"} if pretty else {}
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey", "c_mktsegment", F.to_json(feature, options).alias("feature"))
+
+
+_COLLECTION_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS id, '"Été", {' || c_name AS nom,
+       'POLYGON((' || x || ' 40,' || (x + 1) || ' 40,' || x || ' 41,' || x || ' 40))' AS wkt
+FROM (SELECT *, c_custkey % 90 AS x FROM customer)
+"""
+
+
+@query("geojson_collection", _COLLECTION_SQL)
+def geojson_collection(spark, sf_dir):
+    """A collection on one line for each nation, cut at its features."""
+    path = shared_dir(spark, "collection")
+    _collections(_customer_features(spark, sf_dir), "c_nationkey", path)
+    return files.read_geojson(spark, path).select("id", "nom", G.to_wkt(F.col("geometry")).alias("wkt"))
+
+
+@query("geojson_pretty", _COLLECTION_SQL)
+def geojson_pretty(spark, sf_dir):
+    """A collection for each market segment, every member on a line of its own."""
+    path = shared_dir(spark, "pretty")
+    _collections(_customer_features(spark, sf_dir, pretty=True), "c_mktsegment", path, "\n")
+    return files.read_geojson(spark, path).select("id", "nom", G.to_wkt(F.col("geometry")).alias("wkt"))
+
+
+@query("import_bad_rows", """
+SELECT c_mktsegment AS segment, CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE') THEN 'insert' ELSE 'loaded' END AS outcome,
+       CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE') THEN 0 ELSE CAST(count(*) AS BIGINT) END AS features,
+       CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE') THEN 0 ELSE CAST(sum(c_custkey) AS BIGINT) END AS total
+FROM customer GROUP BY c_mktsegment
+""")
+def import_bad_rows(spark, sf_dir):
+    """Of the collections of five segments one breaks off, one holds a broken feature and one is an error page."""
+    segment, path, raw = F.col("c_mktsegment"), shared_dir(spark, "bad"), shared_dir(spark, "raw")
+    features = _customer_features(spark, sf_dir)
+    broken = (segment == "BUILDING") & (F.col("id") == F.min("id").over(Window.partitionBy(segment)))
+    features = features.withColumn("feature", F.when(broken, F.replace("feature", F.lit('"nom":'), F.lit('"nom":?'))).otherwise(F.col("feature")))
+    features = features.withColumn("feature", F.when(segment == "FURNITURE", F.concat(F.lit("<p>"), text("id"), F.lit("</p>"))).otherwise(F.col("feature")))
+    head = F.when(segment == "FURNITURE", "<html>").otherwise('{"type": "FeatureCollection", "features": [')
+    _collections(features, "c_mktsegment", path, head=head, tail=F.when(segment != "AUTOMOBILE", "]}"))
+    plan = features.select(segment.alias("resource_id")).distinct().select(
+        "resource_id", F.lit("geojson").alias("format"), F.concat(F.lit(f"{path}/c_mktsegment="), "resource_id").alias("source_file_path"),
+        F.lit("appuiscommuns").alias("schema"), F.lower("resource_id").alias("table"), F.lit("success").alias("status"), F.lit("import").alias("step"))
+    outcomes = files.load_resources(spark, plan, raw)
+    failed = outcomes.select("resource_id", F.col("step").alias("outcome"))
+    stored = spark.read.parquet(f"{raw}/appuiscommuns/*").groupBy(F.upper(F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1)).alias("resource_id")).agg(
+        F.count(F.lit(1)).alias("features"), F.sum(F.col("id").cast("long")).alias("total"))
+    done = plan.select("resource_id").join(failed, "resource_id", "left").join(stored, "resource_id", "left")
+    return done.select(
+        F.col("resource_id").alias("segment"), F.coalesce("outcome", F.lit("loaded")).alias("outcome"),
+        F.coalesce("features", F.lit(0)).cast("bigint").alias("features"), F.coalesce("total", F.lit(0)).cast("bigint").alias("total"))
+
+
 @query("import_end_to_end", """
 SELECT 'appuiscommuns.apcom_raw_commandes_' || lower(o_orderstatus) AS import_table, CAST(o_orderkey AS VARCHAR) AS numero,
        CAST(o_custkey AS VARCHAR) AS client, lower(o_orderstatus) AS data_owner_id FROM orders

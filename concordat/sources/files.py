@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from concordat.functions import geometry as G
 from concordat.names import Names
 from concordat.operators.union import fold_union
+from concordat.sources.geojson import MalformedText, read_geojson
 
 SEPARATORS = (";", ",", "\t", "|")
 BOM = "\ufeff"
@@ -91,48 +91,6 @@ def read_delimited(
     return fold_union([read(members, charset, broken) for (_, charset, broken), members in kinds.items()])
 
 
-def read_geojson(spark: SparkSession, path: str | Sequence[str], layout: str | None = None) -> DataFrame:
-    """Features as rows: one text column per property, and ``geometry`` in longitude and latitude.
-
-    With one feature per line, bare or inside a collection, large files are split. Any other collection, on one line
-    or over many, is read as a whole file per task. Which of them it is shows in the lines, unless ``layout`` names it
-    (``lines`` or ``document``). Text that is neither a feature nor the frame of a collection fails the read. A property
-    called geometry comes as ``geometry__property``.
-    """
-    paths = [path] if isinstance(path, str) else list(path)
-    feature = "type string, properties map<string,string>, geometry string"
-    if layout not in (None, "lines", "document"):
-        raise ValueError(f"unknown layout {layout!r}")
-    lines = spark.read.text(paths).select(F.regexp_replace(F.trim("value"), r",$", "").alias("text"))
-    # Text that breaks off is parsed as far as it goes, and marked.
-    checked = f"{feature}, {_CORRUPT} string"
-    lines = lines.select("text", F.from_json("text", checked, {"columnNameOfCorruptRecord": _CORRUPT}).alias("f"))
-    is_feature = F.coalesce((F.col("f.type") == "Feature") & F.col(f"f.{_CORRUPT}").isNull(), F.lit(False))
-    # What stands around features that have a line each: brackets, and the head and tail of the collection.
-    is_frame = F.col("text").rlike(r'^[\[\]{}\s]*$|^\{?\s*"(type|name|crs|bbox|features)"|^\]')
-    if layout is None:
-        seen = lines.agg(F.count_if(is_feature).alias("features"), F.count_if(~is_feature & ~is_frame).alias("others"), F.count_if(~is_feature & F.contains("text", F.lit('"Feature"'))).alias("inside")).first()
-        layout = "document" if seen["inside"] and not seen["features"] or seen["others"] and not seen["features"] else "lines"
-    if layout == "lines":
-        strange = ~is_feature & (~is_frame | F.contains("text", F.lit('"Feature"')))
-        error = F.raise_error(F.concat(F.lit("neither a feature nor the frame of a collection: "), F.substring("text", 1, 200)))
-        features = lines.filter(F.when(strange, error.cast("boolean")).otherwise(is_feature)).select("f.*")
-    else:
-        whole = spark.read.text(paths, wholetext=True)
-        collection = F.from_json("value", f"features array<struct<{_ddl_as_struct(feature)}>>")["features"]
-        error = F.raise_error(F.lit("a file is no collection of features"))
-        features = whole.select(F.explode(F.coalesce(collection, F.from_json(error, f"array<struct<{_ddl_as_struct(feature)}>>"))).alias("f")).select("f.*")
-        features = features.filter(F.col("type") == "Feature")
-    found = features.select(F.explode(F.map_keys("properties")).alias("k")).distinct()
-    keys = sorted(r["k"] for r in found.collect())
-    columns = [F.try_element_at("properties", F.lit(k)).alias("geometry__property" if k == "geometry" else k) for k in keys]
-    return features.select(*columns, G.from_geojson(F.col("geometry"), 4326).alias("geometry"))
-
-
-def _ddl_as_struct(ddl: str) -> str:
-    return re.sub(r"(\w+) (string|map<string,string>)", r"\1: \2", ddl)
-
-
 def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     df = spark.read.parquet(*([path] if isinstance(path, str) else path))
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
@@ -167,7 +125,7 @@ def load_resources(
             raw = readers[row["format"]](spark, row["source_file_path"])
         except Exception as error:  # noqa: BLE001  a bad resource must not stop the others
             # What a reader finds wrong in the rows is no failed download.
-            step = "insert" if "USER_RAISED_EXCEPTION" in str(error) else "download"
+            step = "insert" if isinstance(error, MalformedText) or "USER_RAISED_EXCEPTION" in str(error) else "download"
             return row["resource_id"], step, str(error)
         try:
             raw.write.mode("overwrite").parquet(f"{root}/{row['schema']}/{row['table']}")

@@ -41,6 +41,76 @@ def test_a_broken_feature_is_an_outcome(spark, tmp_path):
     assert [(r["resource_id"], r["step"]) for r in failed] == [("r1", "insert")]
 
 
+LAYOUTS = {
+    "one line": json.dumps(COLLECTION), "no spaces": json.dumps(COLLECTION, separators=(",", ":")), "pretty": json.dumps(COLLECTION, indent=2),
+    "by line": '{"type": "FeatureCollection", "features": [\n' + ",\n".join(map(json.dumps, FEATURES)) + '\n], "name": "n"}\n',
+    "list": json.dumps(FEATURES), "sequence": "\x1e" + "\n\x1e".join(map(json.dumps, FEATURES)) + "\n",
+}
+
+
+@pytest.fixture
+def small_splits(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+    spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+TRICKY = [
+    {"properties": {"nom": f'n{i} \\" }}}},{{"type": "Feature" [', "geometry": "{", "more": {"type": "Feature", "l": [{"a": i}, {"a": 1}]}},
+     "geometry": {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [i, 45.0]}, {"type": "Point", "coordinates": [i, 46.0]}]}}
+    for i in range(60)
+]
+
+
+@pytest.mark.parametrize("first", ["type", "id", "properties"])
+@pytest.mark.parametrize("indent", [None, 1])
+def test_a_collection_is_cut_at_features(spark, tmp_path, small_splits, first, indent):
+    features = [{first: {"type": "Feature", "id": str(i)}.get(first, f["properties"]), "type": "Feature", **f} for i, f in enumerate(TRICKY)]
+    (tmp_path / "a.geojson").write_text(json.dumps({"type": "FeatureCollection", "name": "x", "features": features, "crs": {"a": [1]}}, indent=indent))
+    done = read_geojson(spark, str(tmp_path / "a.geojson"))
+    rows = done.collect()
+    assert sorted(r["nom"] for r in rows) == sorted(f["properties"]["nom"] for f in features)
+    assert {json.loads(r["more"])["l"][0]["a"] for r in rows} == set(range(60))
+    if first == "type":
+        assert done.select(F.spark_partition_id()).distinct().count() > 10
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_layouts_in_small_splits(spark, tmp_path, small_splits, layout):
+    (tmp_path / "a.geojson").write_text("\ufeff" * (layout == "one line") + LAYOUTS[layout])
+    (tmp_path / "b.geojson").write_text("")
+    assert sorted(r["nom"] for r in read_geojson(spark, str(tmp_path)).collect()) == ["n0", "n1", "n2"]
+
+
+BROKEN = {
+    "cut off in a feature": json.dumps(COLLECTION)[:150], "cut off after one": json.dumps(COLLECTION)[: json.dumps(COLLECTION).index("}}, {") + 3],
+    "pretty and cut off": json.dumps(COLLECTION, indent=2)[:300], "no tail": json.dumps(COLLECTION)[:-2],
+    "one bad feature": json.dumps(COLLECTION).replace('{"nom": "n1"', '{"nom": n1'), "one that is none": json.dumps(COLLECTION).replace('"Feature", "properties": {"nom": "n1"', '"Point", "properties": {"nom": "n1"'),
+    "something else": '{"error": "not found"}', "a page": "<!DOCTYPE html>\n<html><body>Not found</body></html>", "text behind": json.dumps(COLLECTION) + " and more",
+    "two documents": json.dumps(COLLECTION) * 2, "features missing": '{"type": "FeatureCollection"}', "bad line": LAYOUTS["sequence"].replace('"n2"', "n2"),
+}
+
+
+@pytest.mark.parametrize("kind", BROKEN)
+def test_malformed_geojson_is_an_outcome_and_stores_nothing(spark, tmp_path, kind):
+    (tmp_path / "b.geojson").write_text(BROKEN[kind])
+    plan = spark.createDataFrame(
+        [("r1", "geojson", str(tmp_path / "b.geojson"), "s", "t", "success", "import")],
+        "resource_id string, format string, source_file_path string, schema string, table string, status string, step string")
+    failed = load_resources(spark, plan, str(tmp_path / "raw")).collect()
+    assert [(r["resource_id"], r["step"]) for r in failed] == [("r1", "insert")]
+    assert "b.geojson" in failed[0]["error"]
+    assert not (tmp_path / "raw").exists()
+
+
+def test_a_collection_without_features_is_no_error(spark, tmp_path):
+    (tmp_path / "a.geojson").write_text('{"type": "FeatureCollection", "features": []}')
+    assert read_geojson(spark, str(tmp_path / "a.geojson")).count() == 0
+
+
 def test_quoted_breaks_and_headers_in_any_order(spark, tmp_path):
     folder = tmp_path / "données brutes"
     folder.mkdir()
