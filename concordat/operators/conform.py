@@ -16,6 +16,7 @@ from concordat.types import is_geometry, is_number, is_text, is_timestamp
 
 # Columns that hold a geometry in many exports, best first.
 BEST_GEOMETRY = ("geom", "Geom", "geometrie")
+GEO_PATTERN = ".*geo.*"
 _UUID = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 
 
@@ -52,6 +53,21 @@ def best_geometry_column(source: T.StructType, candidates: Sequence[str]) -> str
     return None
 
 
+def is_geometric(field: T.StructField, geo_pattern: str = GEO_PATTERN) -> bool:
+    return bool(re.match(geo_pattern, field.name, re.IGNORECASE)) and is_geometry(field.dataType)
+
+
+def source_column(
+    field: T.StructField, source: T.StructType, mapping: Mapping[str, str], best: str | None, geo_pattern: str = GEO_PATTERN
+) -> str | None:
+    """Under which name the source holds a target column: its mapped name, that in lower case, or its own."""
+    if best and is_geometric(field, geo_pattern):
+        return best
+    mapped = mapping.get(field.name)
+    candidates = [mapped, mapped.lower(), field.name] if mapped else [field.name]
+    return next((c for c in candidates if c in source.fieldNames()), None)
+
+
 def to_geometry(c: Column, data_type: T.DataType, wkt: bool, srid: int) -> Column:
     """Geometry is reprojected; text is parsed, assigning (WKT) or reprojecting to (GeoJSON) the system."""
     if is_geometry(data_type):
@@ -89,7 +105,7 @@ def conform(
     coded: Sequence[str] | None = None,
     match_field: bool = True,
     date_formats: Sequence[str] = casts.DATE_FORMATS,
-    geo_pattern: str = ".*geo.*",
+    geo_pattern: str = GEO_PATTERN,
     wkt: bool = False,
     best_geometry: Sequence[str] = BEST_GEOMETRY,
     geometry_name: str | None = "geometry",
@@ -123,15 +139,11 @@ def conform(
     output: list[Column] = []
     renamed: dict[str, str] = {}
     for field in fields:
-        geometric = bool(re.match(geo_pattern, field.name, re.IGNORECASE)) and is_geometry(field.dataType)
-        mapped = mapping.get(field.name)
-        candidates = [mapped, mapped.lower()] if mapped else []
-        name = next((c for c in candidates if c in position), field.name)
-        if geometric and best:
-            name = best
+        geometric = is_geometric(field, geo_pattern)
+        name = source_column(field, source, mapping, best, geo_pattern)
         alias = geometry_name if geometric and not models and geometry_name else field.name
         renamed[field.name] = alias
-        if name not in position:
+        if name is None:
             value, text = _null(field.dataType), F.lit(None).cast("string")
         else:
             column, held = F.col(f"c{position[name]}"), source[position[name]].dataType

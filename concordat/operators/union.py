@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import logging
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,10 @@ from pyspark.sql import types as T
 
 from concordat.functions.casts import to_timestamp
 from concordat.names import PROVENANCE_STAMPS, Names
-from concordat.operators.conform import BEST_GEOMETRY, conform
-from concordat.operators.dictionary import build_mapping, read_coded, read_renames, short_name
+from concordat.operators.conform import BEST_GEOMETRY, best_geometry_column, conform, source_column
+from concordat.operators.dictionary import CODE, FIELD, LABEL, build_mapping, short_name
 from concordat.operators.imports import ARCHIVE
+from concordat.operators.joins import BROADCAST_ROWS
 from concordat.sources.raw import RawTables, table_key
 
 log = logging.getLogger(__name__)
@@ -66,11 +68,11 @@ def matching_tables(
     )
 
 
-def provenance(registry_rows: DataFrame, names: Names = Names()) -> DataFrame:
+def provenance(registry_rows: DataFrame, names: Names = Names(), keep: Sequence[str] = ()) -> DataFrame:
     """Registry rows as the provenance columns of the tables they describe."""
     stamps = [to_timestamp(F.col(c), [_STAMP]).alias(c) for c in PROVENANCE_STAMPS]
     key = F.concat_ws(".", "schema", "table").alias("import_table")
-    return registry_rows.select(key, *stamps, "data_owner_id", "data_owner_label", *names.fields)
+    return registry_rows.select(key, *stamps, "data_owner_id", "data_owner_label", *names.fields, *keep)
 
 
 def empty_union(spark: SparkSession, target: T.StructType, names: Names = Names()) -> DataFrame:
@@ -117,8 +119,52 @@ def _clear_provenance(raw: DataFrame, names: Names) -> DataFrame:
     return raw.select(*[f"`{c}`" for c in held], "import_table").toDF(*renamed, "__import_table")
 
 
-def _collect_tables(tables: DataFrame) -> list[Row]:
-    return tables.orderBy("schema", "table").collect()
+class _Words(NamedTuple):
+    """What the dictionaries of all owners say: one frame of entries, and per dictionary the renames and coded fields."""
+
+    entries: DataFrame | None
+    renames: dict[tuple[str, str], dict[str, str]]
+    coded: dict[str, set[str]]
+    codes: int
+
+
+class _Tables(NamedTuple):
+    rows: list[Row]
+    headers: dict[str, T.StructType]
+    words: _Words
+
+
+def _dictionary_key(row: Row) -> str | None:
+    return table_key(row["dict_schema"], row["dict_table"]) if row["dict_table"] else None
+
+
+def _read_words(tables: RawTables, keys: Sequence[str], names: Names) -> _Words:
+    """All dictionaries in one scan for each layout, and their renames and coded fields in one job.
+
+    Renames and coded fields are metadata of the size of the headers; labels and codes stay where they are.
+    """
+    frames = tables.open(keys) if keys else []
+    if not frames:
+        return _Words(None, {}, {}, 0)
+    entries = fold_union([f.select("import_table", FIELD, LABEL, CODE, names.source) for f in frames])
+    has_code = F.col(CODE).isNotNull()
+    facts = entries.filter(F.col(LABEL).isNotNull()).groupBy("import_table", FIELD, names.source).agg(
+        F.min(F.when(~has_code, F.col(LABEL))).alias("rename"), F.count_if(has_code).alias("codes")).collect()
+    renames: dict[tuple[str, str], dict[str, str]] = defaultdict(dict)
+    coded: dict[str, set[str]] = defaultdict(set)
+    for r in facts:
+        if r["rename"] is not None and r[names.source] is not None:
+            renames[r["import_table"], r[names.source]][r[FIELD]] = r["rename"]
+        if r["codes"]:
+            coded[r["import_table"]].add(r[FIELD])
+    return _Words(entries, renames, coded, sum(r["codes"] for r in facts))
+
+
+def _prepare(registry_rows: DataFrame, tables: RawTables, with_words: bool, names: Names) -> _Tables:
+    """What the driver has to know, in as many jobs for two tables as for thousands."""
+    rows = registry_rows.orderBy("schema", "table").collect()
+    keys = sorted({k for r in rows if (k := _dictionary_key(r))}) if with_words else []
+    return _Tables(rows, tables.headers([table_key(r["schema"], r["table"]) for r in rows]), _read_words(tables, keys, names))
 
 
 def union_sources(
@@ -137,15 +183,13 @@ def union_sources(
 ) -> DataFrame:
     """All matching raw tables, conformed to ``target`` and unioned, with provenance columns.
 
-    Without ``target`` all columns found are kept; those of differing types become text. Only the
-    registry's few columns about tables reach the driver. Tables that share a header, a mapping
-    and a dictionary are read as one scan, so the plan grows with the kinds of tables and not
-    with their number.
+    Without ``target`` all columns found are kept; those of differing types become text. Only the registry's few columns
+    about tables, their headers and what dictionaries call columns reach the driver. With ``target`` every table's columns
+    are chosen there, and all tables are read, conformed and translated together: neither the jobs nor the scans, joins
+    and projections of the plan become more with more owners.
     """
-    rows = _collect_tables(matching_tables(registry, criteria, names=names))
-    return _union_rows(
-        spark, rows, tables, target, best_geometry, geometry_name, srid, match_field, debug, names
-    )
+    known = _prepare(matching_tables(registry, criteria, names=names), tables, target is not None, names)
+    return _union_rows(spark, known, tables, target, best_geometry, geometry_name, srid, match_field, debug, names)
 
 
 def union_by_name(
@@ -159,80 +203,121 @@ def union_by_name(
 
 def union_groups(
     spark: SparkSession, registry: DataFrame, tables: RawTables, target: T.StructType | None = None,
-    names: Names = Names(), **options,
+    names: Names = Names(), *, best_geometry: Sequence[str] = BEST_GEOMETRY, geometry_name: str | None = "geometry",
+    srid: int = 2154, match_field: bool = True, debug: bool = False,
 ) -> dict[str, DataFrame]:
-    """Every union there is to build: ``<prefix>_src_<source>`` -> frame."""
-    groups = (
-        matching_tables(registry, names=names)
-        .groupBy(names.use_case, "group_source").agg(F.min("group_prefix").alias("prefix"))
-        .orderBy(names.use_case, "group_source").collect()
-    )
+    """Every union there is to build: ``<prefix>_src_<source>`` -> frame. The jobs are those of one union."""
+    known = _prepare(matching_tables(registry, names=names), tables, target is not None, names)
+    groups: dict[tuple, list[Row]] = defaultdict(list)
+    for row in known.rows:
+        groups[row[names.use_case], row["group_source"]].append(row)
     return {
-        f"{g['prefix']}_src_{g['group_source']}": union_by_name(
-            spark, registry, tables, g["group_source"], g[names.use_case], target, names, **options
-        )
-        for g in groups
+        f"{min((r['group_prefix'] for r in members if r['group_prefix'] is not None), default=None)}_src_{source}": _union_rows(
+            spark, known._replace(rows=members), tables, target, best_geometry, geometry_name, srid, match_field, debug, names)
+        for (_, source), members in sorted(groups.items(), key=lambda g: tuple(map(str, g[0])))
     }
 
 
+def _chosen(known: _Tables, target: T.StructType, best_geometry: Sequence[str], names: Names) -> dict[str, list[T.StructField | None]]:
+    """Of every table that exists, the raw column behind each target column."""
+    out = {}
+    for row in known.rows:
+        key = table_key(row["schema"], row["table"])
+        if (header := known.headers.get(key)) is None:
+            continue
+        mapping = build_mapping(target.names, known.words.renames.get((_dictionary_key(row), row[names.source])))
+        best = best_geometry_column(header, best_geometry)
+        found = [source_column(field, header, mapping, best) for field in target]
+        out[key] = [None if n is None else header[n] for n in found]
+    return out
+
+
+def _by_type(chosen: dict[str, list[T.StructField | None]]) -> list[tuple[list[T.DataType | None], dict[str, list[str | None]]]]:
+    """Tables grouped so that a target column has one raw type in a group: all of them, if raw tables are text."""
+    groups: list[tuple[list[T.DataType | None], dict[str, list[str | None]]]] = []
+    for key, fields in chosen.items():
+        own = [f and f.dataType for f in fields]
+        for types, members in groups:
+            if all(a is None or b is None or a == b for a, b in zip(types, own, strict=True)):
+                types[:] = [a or b for a, b in zip(types, own, strict=True)]
+                break
+        else:
+            members = {}
+            groups.append((own, members))
+        members[key] = [f and f.name for f in fields]
+    return groups
+
+
+def _translate(conformed: DataFrame, known: _Tables, target: T.StructType, match_field: bool) -> DataFrame:
+    """Labels to codes by one join for each coded column, on the dictionary of the row's owner and the label.
+
+    A column is translated in the rows of owners whose dictionary has codes for it; a label without one becomes NULL there.
+    """
+    words = known.words
+    coded = [c for c in target.names if any(short_name(c) in fields for fields in words.coded.values())]
+    if not coded or words.entries is None:
+        return conformed
+    usable = words.entries.filter(F.col(LABEL).isNotNull() & F.col(CODE).isNotNull())
+    for i, column in enumerate(coded):
+        book, label, code = f"__book{i}", f"__label{i}", f"__code{i}"
+        if match_field:
+            codes = usable.filter(F.col(FIELD) == short_name(column)).groupBy(F.col("import_table").alias(book), F.col(LABEL).alias(label)).agg(F.min(CODE).alias(code))
+        else:
+            codes = usable.select(F.col("import_table").alias(book), F.col(LABEL).alias(label), F.col(CODE).alias(code))
+        own = F.array_contains("__coded", column)
+        value = F.col(f"`{column}`").cast("string")
+        codes = F.broadcast(codes) if words.codes <= BROADCAST_ROWS else codes
+        conformed = conformed.join(codes, (F.when(own, F.col("__dictionary")) == F.col(book)) & (value == F.col(label)), "left")
+        conformed = conformed.withColumn(column, F.when(own, F.col(code)).otherwise(value)).drop(book, label, code)
+    return conformed
+
+
+def _known_rows(spark: SparkSession, known: _Tables, target: T.StructType | None, names: Names) -> DataFrame:
+    """Provenance of every table, and with a target its dictionary and the columns that the dictionary translates."""
+    schema = T.StructType([
+        *[T.StructField(c, T.StringType()) for c in ("schema", "table", "data_owner_id", "data_owner_label", *PROVENANCE_STAMPS, *names.fields)],
+        T.StructField("__dictionary", T.StringType()), T.StructField("__coded", T.ArrayType(T.StringType())),
+    ])
+
+    def words(row: Row) -> tuple[str | None, list[str]]:
+        key = _dictionary_key(row)
+        return key, [c for c in (target.names if target is not None else []) if short_name(c) in known.words.coded.get(key, ())]
+
+    rows = spark.createDataFrame([(*[r[c] for c in schema.names[:-2]], *words(r)) for r in known.rows], schema)
+    return provenance(rows, names, ["__dictionary", "__coded"]).withColumn("__known", F.lit(True))
+
+
 def _union_rows(
-    spark, rows: Iterable[Row], tables: RawTables, target, best_geometry, geometry_name, srid,
-    match_field, debug, names: Names,
+    spark, known: _Tables, tables: RawTables, target, best_geometry, geometry_name, srid, match_field, debug, names: Names,
 ) -> DataFrame:
-    rows = list(rows)
-    if not rows:
+    present = [k for r in known.rows if (k := table_key(r["schema"], r["table"])) in known.headers]
+    if not present:
         if target is None:
             raise ValueError("no raw table matches, and there is no target schema for an empty result")
         log.warning("no raw table matches the criteria; the union is empty")
         return empty_union(spark, target, names)
 
-    kinds: dict[tuple, list[Row]] = defaultdict(list)
-    for row in rows:
-        kinds[row["dict_schema"], row["dict_table"], row[names.source]].append(row)
-
-    frames = []
-    for (dict_schema, dict_table, source), members in kinds.items():
-        dictionary = tables.dictionary(dict_schema, dict_table) if dict_table else None
-        renames, coded = {}, []
-        if dictionary is not None and target is not None:
-            fields = {short_name(n) for n in target.names} | {
-                short_name(n).split(",")[0] for n in target.names
-            }
-            renames = read_renames(dictionary, source, fields, names)
-            coded = read_coded(dictionary, fields)
-        mapping = build_mapping(target.names, renames) if target is not None else {}
-        for raw in tables.open([table_key(r["schema"], r["table"]) for r in members]):
-            carrier = _clear_provenance(raw, names)
-            if target is None:
-                models, only = [], False
-            else:
-                models, only = [T.StructType([*target.fields, T.StructField("__import_table", T.StringType())])], True
-            frames.append(
-                conform(
-                    carrier, models, defined_only=only, complete=True, mapping=mapping,
-                    dictionary=dictionary if coded else None, coded=coded, match_field=match_field,
-                    wkt=True, best_geometry=best_geometry, geometry_name=geometry_name, srid=srid, debug=debug,
-                ).drop("__import_table__src")
-            )
-    if not frames:
-        return _union_rows(
-            spark, [], tables, target, best_geometry, geometry_name, srid, match_field, debug, names
-        )
     if target is None:
+        frames = [
+            conform(_clear_provenance(raw, names), [], complete=True, wkt=True, best_geometry=best_geometry, geometry_name=geometry_name, srid=srid, debug=debug)
+            .drop("__import_table__src")
+            for raw in tables.open(present)
+        ]
         frames = _same_types(frames)
+    else:
+        model = T.StructType([*target.fields, T.StructField("__import_table", T.StringType())])
+        frames = []
+        for types, wanted in _by_type(_chosen(known, target, best_geometry, names)):
+            raw = tables.columns(wanted, [t or T.StringType() for t in types]).toDF(*model.names)
+            # The columns are chosen already.
+            frames.append(conform(raw, [model], defined_only=True, complete=True, wkt=True, best_geometry=(), srid=srid, debug=debug).drop("__import_table__src"))
     conformed = fold_union(frames).withColumnRenamed("__import_table", "import_table")
 
-    schema = T.StructType([
-        T.StructField(c, T.StringType())
-        for c in ("schema", "table", "data_owner_id", "data_owner_label", *PROVENANCE_STAMPS, *names.fields)
-    ])
-    known = spark.createDataFrame([tuple(r[c] for c in schema.names) for r in rows], schema)
-    origins = provenance(known, names).withColumn("__known", F.lit(True))
-    joined = conformed.join(origins, "import_table", "left")
     own = [c for c in conformed.columns if c != "import_table"]
+    joined = conformed.join(_known_rows(spark, known, target, names), "import_table", "left")
     # A row that no registered table accounts for must not vanish.
     unknown = F.raise_error(F.concat(F.lit("no provenance for table "), F.coalesce("import_table", F.lit("NULL"))))
     table = F.when(F.col("__known"), F.col("import_table")).otherwise(unknown).alias("import_table")
+    if target is not None:
+        joined = _translate(joined, known, target, match_field)
     return joined.select(table, *[f"`{c}`" for c in own], *names.provenance[1:])
-
-

@@ -654,10 +654,11 @@ def union_stored_tables(spark, sf_dir):
     """The same union over stored raw tables: those with equal columns are one scan."""
     known, frames = _order_tables(spark, sf_dir)
     root = shared_dir(spark, "raw")
+    store = ParquetTables(spark, root)
     for name, frame in frames.items():
-        frame.write.mode("overwrite").parquet(f"{root}/{name.replace('.', '/', 1)}")
+        store.write(name, frame)
     criteria = "SOURCE_NOM = 'commandes' or SOURCE_NOM = 'nothing'"
-    return _union_columns(union.union_sources(spark, known, ParquetTables(spark, root), criteria, _ORDER_TARGET))
+    return _union_columns(union.union_sources(spark, known, store, criteria, _ORDER_TARGET))
 
 
 @query("union_empty_fallback", """

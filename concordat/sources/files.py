@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from concordat.names import Names
 from concordat.operators.union import fold_union
 from concordat.sources.geojson import MalformedText, read_geojson
+from concordat.sources.raw import ParquetTables, table_key
 
 SEPARATORS = (";", ",", "\t", "|")
 BOM = "\ufeff"
@@ -120,6 +121,9 @@ def load_resources(
         "resource_id", "format", "source_file_path", "schema", "table"
     ).collect()
 
+    store = ParquetTables(spark, root)
+    headers: dict[str, T.StructType] = {}
+
     def load(row) -> tuple[str, str, str] | None:
         try:
             raw = readers[row["format"]](spark, row["source_file_path"])
@@ -131,8 +135,10 @@ def load_resources(
             raw.write.mode("overwrite").parquet(f"{root}/{row['schema']}/{row['table']}")
         except Exception as error:  # noqa: BLE001
             return row["resource_id"], "insert", str(error)
+        headers[table_key(row["schema"], row["table"])] = raw.schema
         return None
 
     with ThreadPoolExecutor(threads) as pool:
         failures = [f for f in pool.map(load, todo) if f]
+    store.note(headers)
     return spark.createDataFrame(failures, "resource_id string, step string, error string")

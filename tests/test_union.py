@@ -111,3 +111,57 @@ def test_many_inputs_fold_into_a_shallow_plan(spark):
     frames = [spark.range(1).withColumnRenamed("id", f"c{i % 3}") for i in range(40)]
     done = U.fold_union(frames)
     assert sorted(done.columns) == ["c0", "c1", "c2"] and done.count() == 40
+
+
+def _many_owners(spark, root, count):
+    """A store in which every owner calls the columns its own way and has its own dictionary."""
+    store, rows, headers = ParquetTables(spark, str(root)), [], {}
+
+    def write(key, data, columns):
+        frame = spark.createDataFrame(data, columns)
+        frame.coalesce(1).write.parquet(f"{root}/{key.replace('.', '/')}")
+        headers[key] = frame.schema
+
+    for i in range(count):
+        write(f"s.eau_raw_can_{i}", [(f"L{i}", str(i)), ("?", "x")], f"nom{i} string, valeur string")
+        words = [("nom", f"nom{i}", None, "can"), ("nom", f"L{i}", f"C{i}", "can"), ("nom", f"L{i + 1}", "other", "can")]
+        write(f"s.eau_raw_dict_{i}", words, "Champs string, Valeur string, Code string, ABC_SOURCE_NOM string")
+        rows += [row("can", str(i), f"eau_raw_can_{i}"), row("eau_dict", str(i), f"eau_raw_dict_{i}")]
+    store.note(headers)
+    return store, spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in COLUMNS))
+
+
+def test_jobs_and_scans_do_not_grow_with_owners(spark, tmp_path):
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.threshold", "1000")  # a listing of many paths is a job of its own
+    seen = {}
+    for count in (2, 50):
+        store, known = _many_owners(spark, tmp_path / str(count), count)
+        spark.sparkContext.setJobGroup(f"build {count}", "")
+        done = U.union_by_name(spark, known, store, "can", "eau", TARGET, names=N)
+        spark.sparkContext.setJobGroup("rest", "")
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"build {count}"))
+        plan = done._jdf.queryExecution().executedPlan().toString()
+        seen[count] = jobs, plan.count("FileScan"), plan.count("Join")
+        got = sorted((r.import_table, r.x_nom, r.x_valeur) for r in done.collect() if r.x_nom)
+        assert got == sorted((f"s.eau_raw_can_{i}", f"C{i}", i) for i in range(count))
+        groups = U.union_groups(spark, known, store, TARGET, N)
+        assert set(groups) == {"eau_src_can", "eau_src_eau_dict"} and groups["eau_src_can"].count() == 2 * count
+    spark.conf.unset("spark.sql.sources.parallelPartitionDiscovery.threshold")
+    assert seen[2] == seen[50]
+
+
+def test_labels_without_match_field_and_uncoded_owners(spark, registry, frames):
+    words = frames["s.eau_raw_dict_b"].union(spark.createDataFrame([("autre", "L1", "D1", "can")], "a string, b string, c string, d string"))
+    done = U.union_by_name(spark, registry, FrameTables(frames | {"s.eau_raw_dict_b": words}), "can", "eau", TARGET, names=N, match_field=False)
+    got = sorted((r.import_table, r.x_nom) for r in done.collect() if r.x_nom)
+    assert got == [("s.eau_raw_can_a", "n1"), ("s.eau_raw_can_a", "n2"), ("s.eau_raw_can_b", "C1"), ("s.eau_raw_can_b", "D1")]
+
+
+def test_raw_columns_of_other_types(spark, registry, frames, tmp_path):
+    typed = frames | {"s.eau_raw_can_b": spark.createDataFrame([(2.0, "L1")], "valeur double, libelle string")}
+    for name, frame in typed.items():
+        ParquetTables(spark, str(tmp_path)).write(name, frame)
+    as_rows = lambda df: sorted((tuple(r) for r in df.select("import_table", "x_nom", "x_valeur").collect()), key=str)
+    by_files, by_frames = (U.union_by_name(spark, registry, t, "can", "eau", TARGET, names=N) for t in (ParquetTables(spark, str(tmp_path)), FrameTables(typed)))
+    assert as_rows(by_files) == as_rows(by_frames)
+    assert ("s.eau_raw_can_b", "C1", 2) in as_rows(by_files)
