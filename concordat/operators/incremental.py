@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.operators.joins import sized
-from concordat.sources.tables import VersionedTable, write_partitions
+from concordat.sources.tables import GroupedTable
 
 EPOCH = datetime.datetime(1970, 1, 1)
 
@@ -55,28 +55,23 @@ def run_incremental(
     mode: str = "incremental",
     inclusive: bool = False,
     partitioned: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Bring the stored table up to date and return it.
 
-    ``mode="full"`` ignores what is stored. With ``partitioned`` the table is laid out by its keys
-    and only the partitions of replaced groups are rewritten; use it when groups are large and
-    keys are few. Otherwise a new version is written beside the old one and then made current.
+    Rows stamped after the last run replace the groups that have their key. The table is laid out in ``buckets`` by a hash of
+    the key, and only those that hold a replaced group are read and written. With ``partitioned`` every key has a folder of
+    its own and nothing is read; use it when groups are large and keys are few. ``mode="full"`` writes the table anew.
     """
     if mode not in ("incremental", "full"):
         raise ValueError(f"unknown mode {mode!r}")
     keys = [keys] if isinstance(keys, str) else list(keys)
-    spark = source.sparkSession
-    table = VersionedTable(spark, path, partitions=keys if partitioned else None)
+    table = GroupedTable(source.sparkSession, path, keys, by_value=partitioned, buckets=buckets)
     current = None if mode == "full" else table.read()
     if current is None:
-        table.commit(source, mark_column=ts_col)
+        table.store(source, ts_col)
         return table.read()
     mark = table.mark() or EPOCH
-    batch = since(source, mark, ts_col, inclusive)
-    if partitioned:
-        # Stored rows past the watermark come from a run that died before it was logged.
-        write_partitions(batch, table.data_path(), keys, unfinished=since(current, mark, ts_col, inclusive))
-        table.log(ts_col)
-    else:
-        table.commit(replace_by_key(current, batch, keys), mark_column=ts_col)
+    # Stored rows past the watermark come from a run that died before it was noted.
+    table.replace(since(source, mark, ts_col, inclusive), ts_col, unfinished=since(current, mark, ts_col, inclusive))
     return table.read()

@@ -15,13 +15,12 @@ from concordat.functions.casts import to_numeric
 from concordat.names import Names
 from concordat.operators.conform import read_example_perimeters, strict_types
 from concordat.operators.incremental import run_incremental
-from concordat.operators.joins import sized
 from concordat.operators.jsonld import to_jsonld
 from concordat.operators.keys import translate_perimeters
-from concordat.operators.link import link_watermark, link_within, marked
+from concordat.operators.link import MARKER, link_watermark, link_within, marked
 from concordat.operators.union import union_by_name, union_sources
 from concordat.sources.raw import RawTables
-from concordat.sources.tables import VersionedTable
+from concordat.sources.tables import GroupedTable
 from concordat.types import DECIMAL, GEOMETRY
 
 PERIMETER = T.StructType([T.StructField("geom", GEOMETRY)])
@@ -74,6 +73,11 @@ def population_typed(parsed: DataFrame) -> DataFrame:
     return strict_types(parsed, {POPULATION: DECIMAL})
 
 
+def population_standard(typed: DataFrame, path: str, mode: str = "incremental") -> DataFrame:
+    """Stored population: what is newer replaces the rows of its commune's code."""
+    return run_incremental(typed, path, POPULATION_KEY, mode=mode)
+
+
 def demography_typed(parsed: DataFrame) -> DataFrame:
     return strict_types(parsed.withColumn(DEMOGRAPHY, to_numeric(F.col(f"`{DEMOGRAPHY}`"))), {DEMOGRAPHY: DECIMAL})
 
@@ -126,22 +130,22 @@ def commune_links(
 
     Links are not refreshed when communes change; run with ``mode="full"`` then.
     """
-    table = VersionedTable(objects.sparkSession, path)
-    current = None if mode == "full" else table.read()
+    objects = objects.withColumn(object_id, F.col(object_id).cast("string"))
+    table = GroupedTable(objects.sparkSession, path, [object_id])
+    current = None if mode == "full" else table.group(MARKER)
+    mark = None if current is None else link_watermark(current)
     links = link_within(
-        objects.withColumn(object_id, F.col(object_id).cast("string")),
-        communes, object_id, geometry,
+        objects, communes, object_id, geometry,
         area_geometry="geometry_shape_2154" if srid == 2154 else "geometry",
-        since_mark=None if current is None else link_watermark(current),
-        marker=True, **options,
+        since_mark=mark, marker=True, **options,
     )
-    if current is not None:
-        # Objects that moved out of every commune must lose their links too.
-        changed = objects.filter(F.col("last_changed") > F.lit(link_watermark(current)))
-        ids = sized(changed.select(F.col(object_id).cast("string").alias(object_id)).distinct())
-        kept = links_only(current).join(ids, object_id, "left_anti").select(*current.columns)
-        links = kept.unionByName(links)
-    table.commit(links)
+    if current is None:
+        table.store(links)
+    else:
+        # Objects that moved out of every commune must lose their links too, and the old watermark goes.
+        changed = objects.filter(F.col("last_changed") > F.lit(mark)).select(object_id)
+        marker = objects.sparkSession.createDataFrame([(MARKER,)], f"`{object_id}` string")
+        table.replace(links, replaced=changed.unionByName(marker))
     return table.read()
 
 

@@ -15,7 +15,7 @@ from concordat.operators import dedupe as D
 from concordat.operators import incremental as I
 from concordat.operators import keys, kpi, meta, profile
 from concordat.plans import models
-from concordat.sources.tables import VersionedTable, write_table
+from concordat.sources.tables import GroupedTable, write_table
 
 DAY = lambda n: datetime.datetime(2022, 1, n)
 
@@ -90,34 +90,95 @@ def test_incremental_run(spark, tmp_path, partitioned):
         I.run_incremental(full, path, "owner", mode="half")
 
 
-def test_unfinished_version_is_not_read(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"))
-    assert table.read() is None and table.mark() is None
-    df = spark.createDataFrame([("a", DAY(1))], "k string, last_changed timestamp_ntz")
-    table.commit(df, "last_changed")
-    # A run that died after writing data and before its log entry.
-    df.union(df).write.parquet(f"{tmp_path}/t/data/v1")
-    assert table.read().count() == 1 and table.mark() == DAY(1)
-    table.commit(df.union(df).union(df), "last_changed")
-    assert table.read().count() == 3
-
-
-def test_partitioned_run_can_be_repeated(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_a_run_that_failed_is_repeated(spark, tmp_path, monkeypatch, partitioned):
     path, schema = str(tmp_path / "t"), "owner string, name string, last_changed timestamp_ntz"
     first = [("a", "a1", DAY(1)), (None, "n1", DAY(1))]
     second = first + [("a", "a2", DAY(2)), (None, "n2", DAY(2)), (None, "n2", DAY(2)), ("b", "b1", DAY(2))]
-    I.run_incremental(spark.createDataFrame(first, schema), path, "owner", partitioned=True)
+    I.run_incremental(spark.createDataFrame(first, schema), path, "owner", partitioned=partitioned)
 
     def die(*_):
         raise RuntimeError("lost driver")
 
     with monkeypatch.context() as broken, pytest.raises(RuntimeError):
-        broken.setattr(VersionedTable, "log", die)
-        I.run_incremental(spark.createDataFrame(second, schema), path, "owner", partitioned=True)
-    done = I.run_incremental(spark.createDataFrame(second, schema), path, "owner", partitioned=True)
+        broken.setattr(GroupedTable, "_note", die)
+        I.run_incremental(spark.createDataFrame(second, schema), path, "owner", partitioned=partitioned)
+    done = I.run_incremental(spark.createDataFrame(second, schema), path, "owner", partitioned=partitioned)
     assert sorted(r.name for r in done.collect()) == ["a2", "b1", "n1", "n2", "n2"]
 
 
+def _files(path):
+    found = {}
+    for file in path.rglob("*.parquet"):
+        found.setdefault(file.parent.name, set()).add(file.name)
+    return found
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_path):
+    schema = "k long, n long, last_changed timestamp_ntz"
+    rows = [(k, n, DAY(1)) for k in range(300) for n in range(2)]
+    path = str(tmp_path / "t")
+    I.run_incremental(spark.createDataFrame(rows, schema), path, "k", buckets=32)
+    before = _files(tmp_path / "t" / "data")
+    newer = [(7, 100, DAY(2)), (7, 101, DAY(2)), (1000, 1, DAY(2))]
+    # The number of buckets is the table's; another one is not looked at.
+    done = I.run_incremental(spark.createDataFrame(rows + newer, schema), path, "k", buckets=5)
+    after = _files(tmp_path / "t" / "data")
+    assert len(before) > 25 and before.keys() <= after.keys()
+    assert sum(before[b] != after[b] for b in before) <= 2 and len(after.keys() - before.keys()) <= 1
+    assert sorted_rows(done) == sorted([r for r in rows if r[0] != 7] + newer, key=str)
+
+
+def test_a_group_that_is_gone_leaves_an_empty_bucket(spark, tmp_path):
+    table = GroupedTable(spark, str(tmp_path / "t"), ["k"], buckets=64)
+    assert table.read() is None and table.mark() is None and table.group("a") is None
+    table.store(spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int"))
+    gone = spark.createDataFrame([("a",), ("c",)], "k string")
+    table.replace(spark.createDataFrame([("c", 3)], "k string, n int"), replaced=gone)
+    assert sorted_rows(table.read()) == [("b", 2), ("c", 3)]
+    assert sorted_rows(table.group("c")) == [("c", 3)]
+    plan = table.group("c")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(__bucket_of_64" in plan
+
+
+def test_tables_without_rows(spark, tmp_path):
+    none = spark.createDataFrame([], "k string, n int, last_changed timestamp_ntz")
+    for partitioned in (False, True):
+        path = str(tmp_path / str(partitioned))
+        assert I.run_incremental(none, path, "k", partitioned=partitioned).columns == ["k", "n", "last_changed"]
+        assert I.run_incremental(none, path, "k", partitioned=partitioned).count() == 0
+        one = spark.createDataFrame([("a", 1, DAY(1))], none.schema)
+        assert sorted_rows(I.run_incremental(one, path, "k", partitioned=partitioned)) == [("a", 1, DAY(1))]
+
+
+def test_links_follow_objects_that_move(spark, tmp_path):
+    from concordat.functions import geometry as G
+    square = "POLYGON((0 0,2 0,2 2,0 2,0 0))"
+    areas = spark.createDataFrame([("A", square), ("B", square.replace("0", "5").replace("2", "7"))], "com_code string, wkt string").select(
+        "com_code", G.from_wkt(F.col("wkt"), 4326).alias("geometry"))
+
+    def points(*rows):
+        df = spark.createDataFrame(rows, "id long, x double, last_changed timestamp_ntz")
+        return df.select("id", "last_changed", G.point(F.col("x"), F.lit(1.0) + F.when(F.col("x") > 4, 5).otherwise(0), 4326).alias("geometry"))
+
+    options = {"carry": ()}
+    first = [(1, 1.0, DAY(1)), (2, 1.0, DAY(1)), (3, 1.0, DAY(1))]
+    models.commune_links(points(*first), areas, str(tmp_path / "l"), "id", **options)
+    second = [(1, 1.0, DAY(1)), (2, 6.0, DAY(2)), (3, 3.0, DAY(2))]
+    done = models.commune_links(points(*second), areas, str(tmp_path / "l"), "id", **options)
+    assert sorted_rows(models.links_only(done).select("id", "com_code")) == [("1", "A"), ("2", "B")]
+    assert done.count() == 3
+
+
+def test_population_is_stored_by_code(spark, tmp_path):
+    schema = "Code string, `Population municipale 2019` string, last_changed timestamp_ntz"
+    first = models.population_typed(spark.createDataFrame([("1", "50", DAY(1)), ("2A", "7", DAY(1))], schema))
+    models.population_standard(first, str(tmp_path / "p"))
+    newer = models.population_typed(spark.createDataFrame([("2A", "8", DAY(2))], schema))
+    done = models.population_standard(newer, str(tmp_path / "p"))
+    assert sorted((r.Code, int(r["Population municipale 2019"])) for r in done.collect()) == [("1", 50), ("2A", 8)]
+
+
 def test_inclusive_watermark(spark):
     df = spark.createDataFrame([(1, DAY(1)), (2, DAY(2))], "n int, last_changed timestamp_ntz")
     target = df.filter("n = 1")
