@@ -27,6 +27,9 @@ _SPAN = 8
 _STEP = 4
 # Areas in cells are broadcast up to this size, counting so much per row and per point.
 BROADCAST_BYTES = 128 << 20
+# Objects of a cell that one share of it takes, and what names a cell.
+CROWD = 20_000
+_CELL = ["level", "cx", "cy"]
 _ROW_BYTES, _POINT_BYTES = 256, 16
 
 
@@ -140,23 +143,27 @@ def _meet(
 ) -> DataFrame:
     """Objects and the areas of their cell.
 
-    The cells are broadcast when the bound on their size, or else their measured size, allows. Otherwise both sides are shuffled
-    on the cell and a share of it: each object has one share and each area is in all of them.
-    Spark's own estimate knows nothing of the cells an area makes, so it does not decide.
+    The cells are broadcast when the bound on their size, or else their measured size, allows. Otherwise both sides are
+    shuffled on the cell and a share of it. The objects of every cell are counted first: a cell with more than CROWD of
+    them is split into as many shares as hold CROWD each, and only the areas of such cells are copied. ``salts`` gives
+    every cell so many shares instead. Spark's own estimate knows nothing of the cells an area makes, so it does not decide.
     """
+    if salts is None and (bytes_bound <= BROADCAST_BYTES or _measure(cells, whole_shapes) <= BROADCAST_BYTES):
+        return placed.join(F.broadcast(cells), _CELL)
     if salts is None:
-        if bytes_bound <= BROADCAST_BYTES or _measure(cells, whole_shapes) <= BROADCAST_BYTES:
-            return placed.join(F.broadcast(cells), ["level", "cx", "cy"])
-        salts = default_salts(placed)
-    shares = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    spread = placed.withColumn("salt", F.pmod(F.xxhash64("oid", "px", "py"), F.lit(salts)).cast("int"))
-    return spread.join(cells.withColumn("salt", shares).hint("merge"), ["level", "cx", "cy", "salt"])
-
-
-def default_salts(df: DataFrame) -> int:
-    """Shares a crowded cell is split into; grows with the cluster, and areas are copied as often."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(32, max(1, partitions // 16))
+        placed, cells = _shared_out(placed, cells)
+    else:
+        placed, cells = (df.withColumn("shares", F.lit(salts)) for df in (placed, cells))
+    placed = placed.withColumn("share", F.pmod(F.xxhash64("oid", "px", "py"), F.col("shares")).cast("int"))
+    cells = cells.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+    return placed.drop("shares").join(cells.drop("shares").hint("merge"), [*_CELL, "share"])
+
+
+def _shared_out(placed: DataFrame, cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the number of shares of their cell, from the counts of objects, which are added up before a shuffle."""
+    crowds = placed.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("crowd")).where(F.col("crowd") > CROWD)
+    shares = crowds.select(*_CELL, F.ceil(F.col("crowd") / CROWD).cast("int").alias("shares"))
+    return tuple(df.join(shares, _CELL, "left").withColumn("shares", F.coalesce("shares", F.lit(1))) for df in (placed, cells))
 
 
 def link_within(

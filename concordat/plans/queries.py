@@ -1011,6 +1011,36 @@ def shape_link(spark, sf_dir):
     return link.link_within(lines, _areas(spark, sf_dir), "id", "geometry", carry=()).select("id", "com_code")
 
 
+_HOLES_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(s_suppkey AS VARCHAR) AS com_code
+FROM (SELECT c_custkey, c_custkey * 7 % 241 / 4.0 AS x1, c_custkey * 11 % 49 / 4.0 AS y1,
+             c_custkey * 7 % 241 / 4.0 + (1 + c_custkey % 5) / 2.0 AS x2, c_custkey * 11 % 49 / 4.0 + (1 + c_custkey % 5) / 4.0 AS y2 FROM customer) s
+JOIN (SELECT s_suppkey, s_suppkey % 40 * 1.5 AS x, s_suppkey // 40 * 1.5 AS y FROM supplier) a
+  ON (x1 >= x AND x2 <= x + 3 AND y1 >= y AND y2 <= y + 3 AND (x2 <= x + 0.6 OR x1 >= x + 2.4 OR y2 <= y + 1.1 OR y1 >= y + 1.9))
+  OR (x1 >= x + 3.5 AND x2 <= x + 4.5 AND y1 >= y AND y2 <= y + 1)
+"""
+
+
+@query("shape_link_holes", _HOLES_SQL)
+def shape_link_holes(spark, sf_dir):
+    """Rectangles within areas of two parts, the larger of which has a hole that rectangles cut and enclose."""
+    key = F.col("c_custkey")
+    area = F.col("s_suppkey")
+
+    def box(x: Column, y: Column, w: Column | float, h: Column | float) -> Column:
+        corners = [(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]
+        return F.concat(F.lit("("), F.concat_ws(",", *[F.concat_ws(" ", text(a), text(b)) for a, b in corners]), F.lit(")"))
+
+    left, low = area % 40 * 1.5, F.floor(area / 40) * 1.5
+    shape = F.concat(F.lit("MULTIPOLYGON(("), box(left, low, 3.0, 3.0), F.lit(","), box(F.round(left + 0.6, 1), F.round(low + 1.1, 1), 1.8, 0.8), F.lit("),("),
+                     box(left + 3.5, low, 1.0, 1.0), F.lit("))"))
+    areas = conform.parse_geometry(table(spark, sf_dir, "supplier").select(text(area).alias("com_code"), shape.alias("geometry")), "geometry", "wkt", 2154)
+    rectangle = F.concat(F.lit("POLYGON("), box(key * 7 % 241 / 4, key * 11 % 49 / 4, (1 + key % 5) / 2, (1 + key % 5) / 4), F.lit(")"))
+    rows = table(spark, sf_dir, "customer").select(text(key).alias("id"), F.lit(None).cast("timestamp_ntz").alias("last_changed"), rectangle.alias("geometry"))
+    shapes = conform.parse_geometry(rows, "geometry", "wkt", 2154)
+    return link.link_within(shapes, areas, "id", "geometry", carry=()).select("id", "com_code")
+
+
 @query("perimeter_owner", _LINK_SQL + """
 SELECT id, reg_code AS perimetre_data_owner_id FROM links
 """)

@@ -67,6 +67,52 @@ def test_shapes_equal_all_pairs(spark, salts):
     assert sorted((r.id, r.com_code) for r in got.collect()) == expected
 
 
+def _box(x, y, w, h):
+    return f"({x} {y},{x + w} {y},{x + w} {y + h},{x} {y + h},{x} {y})"
+
+
+@pytest.mark.parametrize("salts", [None, 2])
+def test_shapes_that_touch_holes_and_parts(spark, salts):
+    """Whole coordinates, so that shapes follow boundaries, meet corners and enclose holes all the time."""
+    rng = random.Random(21)
+    areas = []
+    for i in range(25):
+        x, y, w, h = rng.randint(0, 20), rng.randint(0, 20), rng.randint(6, 12), rng.randint(6, 12)
+        holes = [_box(x + 2, y + 2, 2, 2)] + ([_box(x + 4, y + 4, w - 5, h - 5)] if rng.random() < 0.5 else [])
+        rings = ",".join([_box(x, y, w, h), *(holes if rng.random() < 0.7 else [])])
+        areas.append((str(i), f"MULTIPOLYGON((({rings[1:-1]})),({_box(x + w + 1, y, 3, 3)}))" if rng.random() < 0.4 else f"POLYGON({rings})"))
+    rows = []
+    for i in range(150):
+        x, y, w, h = rng.randint(0, 28), rng.randint(0, 28), rng.randint(1, 5), rng.randint(1, 5)
+        kinds = [
+            f"POLYGON({_box(x, y, w, h)})", f"POLYGON({_box(x, y, w + 2, h + 2)},{_box(x + 1, y + 1, 1, 1)})", f"LINESTRING({x} {y},{x + w} {y},{x + w} {y + h})",
+            f"LINESTRING({x} {y},{x + w} {y + h})", f"MULTIPOINT({x} {y},{x + w} {y + h})", f"MULTILINESTRING(({x} {y},{x + 1} {y}),({x + 2} {y},{x + 2} {y + h}))",
+            f"MULTIPOLYGON(({_box(x, y, 1, 1)}),({_box(x + 2, y, 1, 1)}))",
+        ]
+        rows += [(f"{i}-{k}", wkt, T0) for k, wkt in enumerate(kinds)]
+    rows += rows[:50]  # objects that repeat are linked each
+    found, shapes = wkt_areas(spark, areas).cache(), objects(spark, rows).cache()
+    got = link.link_within(shapes, found, "id", "geometry", carry=("com_name",), salts=salts)
+    pairs = shapes.crossJoin(found.withColumnRenamed("geometry", "outline"))
+    every = pairs.filter(G.contains(F.col("outline"), F.col("geometry"))).select("id", "com_code", "com_name")
+    expected = sorted(map(tuple, every.collect()))
+    assert len(expected) > 200
+    assert sorted(tuple(r)[:3] for r in got.collect()) == expected
+
+
+def test_a_crowded_cell_is_split_and_only_its_areas_are_copied(spark, monkeypatch):
+    monkeypatch.setattr(link, "CROWD", 50)
+    monkeypatch.setattr(link, "BROADCAST_BYTES", 0)
+    areas = wkt_areas(spark, [(str(i), f"POLYGON({_box(i, 0, 1, 1)})") for i in range(40)])
+    rows = [(f"c{i}", "POINT(3.5 0.5)", T0) for i in range(900)] + [(f"o{i}", f"POINT({i % 40 + 0.25} 0.5)", T0) for i in range(100)]
+    got = link.link_within(objects(spark, rows), areas, "id", "geometry", carry=(), shapes=False)
+    assert sorted((r.id, r.com_code) for r in got.collect()) == sorted([(f"c{i}", "3") for i in range(900)] + [(f"o{i}", str(i % 40)) for i in range(100)])
+    cells = spark.createDataFrame([(0, n, 0, "a") for n in range(40)], "level int, cx long, cy long, com_code string")
+    placed = spark.createDataFrame([(0, 3, 0, str(i)) for i in range(900)] + [(0, i % 40, 0, str(i)) for i in range(100)], "level int, cx long, cy long, oid string")
+    _, copied = link._shared_out(placed, cells)
+    assert {r.cx: r.shares for r in copied.collect()} == {n: 19 if n == 3 else 1 for n in range(40)}
+
+
 def test_holes_boundaries_and_overlaps(spark):
     areas = wkt_areas(spark, [
         ("ring", "POLYGON((0 0,10 0,10 10,0 10,0 0),(4 4,6 4,6 6,4 6,4 4))"),
