@@ -7,8 +7,9 @@ and heavy is where the subsets begin to cost more than the lists, from the count
 of hashed counts over all documents; it orders the shingles and cannot change the result.
 
 Sketches count a set's shingles by hash; what the counts of two sets differ by bounds the sets' difference from below, so
-no link is lost. Lists of near copies are not expanded: a long list first gives a spanning forest of what looks linked, and
-only pairs that the checked links leave apart are compared in a second round.
+no link is lost. Lists of near copies are not expanded: a long list only gives a spanning forest of what looks linked. Sets
+that these forests connect are a family. Where the checked links leave a family in several parts, its sets meet in blocks
+of bounded size, where they are compared in full at once, and a block gives no more links than join its parts.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.phrases import WordHashes, runs
@@ -33,6 +34,8 @@ SLICES = 16
 SKETCH = 64
 #: Lists up to this length give all their pairs; longer ones are cut into blocks that meet pairwise.
 SHORT, BLOCK = 48, 1024
+#: Shingles in a block of a family.
+ELEMENTS = 1 << 21
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -113,19 +116,32 @@ def _looks_linked(sizes: np.ndarray, sketches: np.ndarray, i: int, js: np.ndarra
     return js[(100 + percent) * apart <= (100 - percent) * (sizes[js] + sizes[i])]
 
 
-def _scan(keys: list[str], percent: int, again: bool):
-    """Pairs to compare from lists sorted by key: all that look linked from short lists, a forest of them from long ones.
+def _emit(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Pairs as batches, the smaller id first."""
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
 
-    In the second round, all that look linked and lie in different components.
-    """
-    names = ["a", "b"]
+    def flush() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*out, strict=True)], ["a", "b"])
+
+    for a, b in found:
+        out.append((np.minimum(a, b), np.maximum(a, b)))
+        held += len(a)
+        if held > 1 << 16:
+            yield flush()
+            out, held = [], 0
+    if out:
+        yield flush()
+
+
+def _scan(keys: list[str], percent: int):
+    """Pairs to compare from lists sorted by key: all that look linked from short lists, a forest of them from long ones."""
 
     def pairs_of(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = part.column("id").to_numpy(), part.column("n").to_numpy()
         sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(len(ids), SKETCH)
         sides = part.column("side").to_numpy() if "side" in part.column_names else np.zeros(len(ids), int)
         across = sides.min() != sides.max()
-        group = part.column("component").to_numpy() if again else None
         root = list(range(len(ids)))
 
         def find(x: int) -> int:
@@ -134,14 +150,12 @@ def _scan(keys: list[str], percent: int, again: bool):
                 x = root[x]
             return x
 
-        forest = len(ids) > SHORT and not again
+        forest = len(ids) > SHORT
         left, right = [], []
         for i in range(len(ids) - 1):
             js = np.arange(i + 1, len(ids))
             if across:
                 js = js[sides[js] != sides[i]]
-            if again:
-                js = js[group[js] != group[i]]
             js = _looks_linked(sizes, sketches, i, js, percent)
             if forest and len(js):
                 kept = []
@@ -156,19 +170,54 @@ def _scan(keys: list[str], percent: int, again: bool):
         return np.concatenate(left), np.concatenate(right)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[np.ndarray, np.ndarray]] = []
-        held = 0
-        for part in groups(batches, keys):
-            if part.num_rows > 1:
-                a, b = pairs_of(part)
-                if len(a):
-                    out.append((np.minimum(a, b), np.maximum(a, b)))
-                    held += len(a)
-                if held > 1 << 16:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*out, strict=True)], names)
-                    out, held = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*out, strict=True)], names)
+        yield from _emit(pairs_of(part) for part in groups(batches, keys) if part.num_rows > 1)
+
+    return run
+
+
+def joining_links(sets: list[np.ndarray], parts: np.ndarray, sides: np.ndarray, percent: int) -> tuple[list[int], list[int]]:
+    """Links between sets of different parts, as few as join all parts that have any; of two sides only those across.
+
+    Sets are named by numbers, and one set's numbers are looked up in all others at once.
+    """
+    sizes = np.array([len(s) for s in sets])
+    ends = np.cumsum(sizes)
+    names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(len(names), np.int32)
+    _, label = np.unique(parts, return_inverse=True)
+    across = sides.min() != sides.max()
+    left, right = [], []
+    for i in range(len(sets) - 1):
+        fit = label[i + 1 :] != label[i]
+        fit &= 100 * np.minimum(sizes[i + 1 :], sizes[i]) >= percent * np.maximum(sizes[i + 1 :], sizes[i])
+        if across:
+            fit &= sides[i + 1 :] != sides[i]
+        js = i + 1 + np.flatnonzero(fit)
+        if not len(js):
+            continue
+        own = flat[ends[i] - sizes[i] : ends[i]]
+        mark[own] = 1
+        shared = np.add.reduceat(mark[np.concatenate([flat[ends[j] - sizes[j] : ends[j]] for j in js.tolist()])], np.cumsum(sizes[js]) - sizes[js])
+        mark[own] = 0
+        for j in js[100 * shared >= percent * (sizes[i] + sizes[js] - shared)].tolist():
+            if label[j] != label[i]:
+                left.append(i)
+                right.append(j)
+                label[label == label[j]] = label[i]
+    return left, right
+
+
+def _join_parts(keys: list[str], percent: int):
+    """Links that join the parts of families, from blocks sorted by key."""
+
+    def links_of(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        sets = [unsqueeze(e) for e in part.column("elements").to_pylist()]
+        left, right = joining_links(sets, part.column("component").to_numpy(), part.column("side").to_numpy(), percent)
+        ids = part.column("id").to_numpy()
+        return ids[left], ids[right]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _emit(links_of(part) for part in groups(batches, keys) if part.num_rows > 1)
 
     return run
 
@@ -241,20 +290,19 @@ def _labelled(
     lists = stored(posted.join(crowds, "sig").join(heavy.select("id", "n", "sketch"), "id"), "shingle-crowds")
     by_size = ["n", "id"]
     short = lists.where(F.col("crowd") <= SHORT).select("sig", "id", "n", "sketch").repartition("sig").sortWithinPartitions("sig", *by_size)
-    blocks = F.ceil(F.col("crowd") / BLOCK)
-    long = (
-        lists.where(F.col("crowd") > SHORT).withColumn("side", F.pmod(F.xxhash64("id"), blocks))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-        .select("sig", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "id", "n", "sketch")
-    )
-    tile = ["sig", "low", "high"]
 
-    def scan_long(rows: DataFrame, again: bool) -> DataFrame:
-        return rows.repartition(*tile).sortWithinPartitions(*tile, *by_size).mapInArrow(_scan(tile, percent, again), "a bigint, b bigint")
+    def in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
+        """Every row once for each pair of blocks that its own takes part in."""
+        rows = rows.withColumn("side", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+        return rows.withColumns({"low": F.least("side", "other"), "high": F.greatest("side", "other")}).drop("other")
+
+    long = in_blocks(lists.where(F.col("crowd") > SHORT), F.ceil(F.col("crowd") / BLOCK)).select("sig", "low", "high", "side", "id", "n", "sketch")
+    tile = ["sig", "low", "high"]
+    forests = stored(long.repartition(*tile).sortWithinPartitions(*tile, *by_size).mapInArrow(_scan(tile, percent), "a bigint, b bigint"), "shingle-forests")
 
-    def checked(pairs: DataFrame, name: str) -> DataFrame:
-        """Those of the pairs that are linked, by comparing their sets in full."""
-        pairs = stored(pairs.distinct(), f"{name}-pairs")
+    def checked(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Those of the pairs that are linked, by comparing their sets in full, and the sets."""
+        pairs = stored(pairs.distinct(), "shingle-pairs")
         needed = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
         texts = heads.join(needed, "id", "left_semi").select("id", F.col("key").alias("head"), "first", F.col("mark").alias("first_mark"))
 
@@ -268,7 +316,7 @@ def _labelled(
 
         one = work["doc_id"].eqNullSafe(texts["first"]) & (work["mark"] == texts["first_mark"])
         found = work.join(texts, one).select("id", "bytes", "head").mapInArrow(sets, "id bigint, elements binary")
-        found = stored(found, f"{name}-sets").dropDuplicates(["id", "elements"])
+        found = stored(found, "compared-sets").dropDuplicates(["id", "elements"])
         both = pairs.join(found.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a").join(found.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b")
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,15 +327,21 @@ def _labelled(
                     keep.append(linked(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True)), percent))
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        return stored(both.select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint"), f"{name}-links")
+        return both.select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint"), found
 
-    first_pairs = short.mapInArrow(_scan(["sig"], percent, False), "a bigint, b bigint").union(scan_long(long, False))
-    links = stored(light_links.union(checked(first_pairs, "first")), "links")
+    heavy_links, sets_of = checked(short.mapInArrow(_scan(["sig"], percent), "a bigint, b bigint").union(forests))
+    links = stored(light_links.union(heavy_links), "links")
     reached = components(links, "first-components")
-    if not long.isEmpty():
-        known = long.join(reached.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed = known.groupBy(*tile).agg(F.min("component").alias("l"), F.max("component").alias("m")).where("l <> m").select(*tile)
-        links = links.union(checked(scan_long(known.join(mixed, tile, "left_semi"), True), "second"))
+    if not forests.isEmpty():
+        family = components(forests, "families").select(F.col("node").alias("id"), F.col("component").alias("family"))
+        known = family.join(reached.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        known = known.join(heads.select("id", "n"), "id")
+        apart = known.groupBy("family").agg(F.min("component").alias("l"), F.max("component").alias("m"), F.count("*").alias("members"), F.sum("n").alias("total"))
+        apart = apart.where("l <> m").select("family", F.ceil(F.greatest(F.col("members") / BLOCK, F.col("total") / ELEMENTS)).alias("blocks"))
+        block = ["family", "low", "high"]
+        rows = in_blocks(known.join(apart, "family"), F.col("blocks")).join(sets_of, "id").select(*block, "side", "id", "n", "component", "elements")
+        rows = rows.repartition(*block).sortWithinPartitions(*block, *by_size)
+        links = stored(links.union(rows.mapInArrow(_join_parts(block, percent), "a bigint, b bigint")), "all-links")
         reached = components(links, "components")
     firsts = reached.join(heads.select("id", "first"), F.col("node") == F.col("id")).groupBy("component").agg(F.min("first").alias("component_id"))
     named = reached.join(firsts, "component").select(F.col("node").alias("id"), "component", "component_id")

@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from concordat.llm import packing, quality, token_files
+from concordat.llm import jaccard, packing, quality, token_files
 from concordat.llm.bpe import BpeTokenizer, encode_documents
 from concordat.llm.chunks import library_encoder
 from concordat.llm.embed_dedup import near_embeddings
@@ -234,7 +234,11 @@ def test_jaccard(spark, width, percent):
     assert Counter(tuple(x) for x in jaccard_components(frame, percent, width).collect()) == brute_components(texts, width, percent)
 
 
-def test_jaccard_long_lists(spark):
+@pytest.mark.parametrize(("short", "block", "elements"), [(jaccard.SHORT, jaccard.BLOCK, jaccard.ELEMENTS), (4, 16, 900)], ids=["one block", "many blocks"])
+def test_jaccard_long_lists(spark, monkeypatch, short, block, elements):
+    monkeypatch.setattr(jaccard, "SHORT", short)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "ELEMENTS", elements)
     r = random.Random(6)
     texts = []
     for k in range(160):  # one group that makes lists longer than SHORT
@@ -246,6 +250,25 @@ def test_jaccard_long_lists(spark):
     assert Counter(tuple(x) for x in jaccard_components(frame, 90, 3).collect()) == brute_components(texts, 3, 90)
 
 
+def test_joining_links_are_few_and_lose_no_part():
+    r = np.random.default_rng(3)
+    for _ in range(30):
+        base = [r.choice(10**6, 40, replace=False).astype(np.uint64) for _ in range(2)]
+        sets = [np.unique(np.concatenate([base[k % 2][r.random(40) < 0.97], r.integers(10**6, 10**7, r.integers(0, 3)).astype(np.uint64)])) for k in range(40)]
+        parts, sides = r.integers(0, 12, 40), r.integers(0, 2, 40)
+        left, right = jaccard.joining_links(sets, parts, sides, 90)
+
+        def joined(pairs, parts=parts):
+            label = parts.copy()
+            for i, j in pairs:
+                label[label == label[j]] = label[i]
+            return [tuple(label == x) for x in label]
+
+        every = [(i, j) for i in range(40) for j in range(40) if i != j and sides[i] != sides[j] and jaccard.linked(len(sets[i]), len(sets[j]), len(np.intersect1d(sets[i], sets[j])), 90)]
+        assert joined(every) == joined(zip(left, right, strict=True))
+        assert len(left) < len(set(parts.tolist())) and all((i, j) in every for i, j in zip(left, right, strict=True))
+
+
 def test_one_of_each_group_stays(docs, empty):
     left = keep_one(docs)
     assert left.columns == docs.columns
