@@ -15,13 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from concordat.llm.chunks import library_encoder
 from concordat.llm.shared import held_out
 
 ORDERS = (1, 2, 3, 4)
 #: N-grams are told apart by this many bits of a hash.
 HASH_BITS = 20
-#: Documents in one product.
-BATCH = 64
+#: Documents in one product: a row of it has a column for each n-gram of the landmarks.
+BATCH = 16
 #: A text is in a known language if the winner's score is this far above the second's; labelled scores lie at 1 and -1.
 #: Set on 3,500 labelled documents of sf0.1, not held out and not learned from: 11 of them fall below, which are single
 #: words, shouted lines and texts in two languages. Eight other languages (0.01 to 0.24), markup, tables and hex fall below too;
@@ -82,18 +83,22 @@ def fit(texts: list[bytes], langs: list[str], landmarks: int, ridge: float) -> t
 def training_sample(
     docs: DataFrame, per_language: int, sample_rows: int, modulus: int, remainder: int, id_col: str, text_col: str, lang_col: str,
 ) -> list[tuple[str, bytes]]:
-    """(language, lower-case text) of labelled documents, chosen and ordered by a hash of the id.
+    """(language, lower-case text) of labelled documents, chosen and ordered by hashes of the id and the text.
 
     At most per_language of each language, and sample_rows in all, dealt to the languages in turn. Held-out ids are left
     out. Both limits are applied in the map tasks, on ids alone, before anything is shuffled or sent.
     """
-    order = F.xxhash64(F.col(id_col)), F.col(id_col)
+    order = F.xxhash64(F.col(id_col)), F.col(id_col), F.col("__mark")
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & F.col(id_col).isNotNull() & ~held_out(id_col, modulus, remainder))
+    # Of rows that repeat an id, the text's hash tells which come first; equal rows are one.
+    usable = usable.withColumn("__mark", F.xxhash64(text_col))
     place = F.row_number().over(Window.partitionBy(lang_col).orderBy(*order))
-    ids = usable.select(id_col, lang_col).withColumn("place", place).where(F.col("place") <= per_language).orderBy("place", *order).limit(sample_rows)
-    chosen = [r[0] for r in ids.select(id_col).collect()]
-    rows = docs.where(F.col(id_col).isin(chosen)).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        lang_col, F.lower(text_col).cast("binary"), F.crc32(F.col(id_col).cast("string").cast("binary"))).limit(2 * sample_rows).collect() if chosen else []
+    ids = usable.select(id_col, lang_col, "__mark").withColumn("place", place).where(F.col("place") <= per_language).orderBy("place", *order).limit(sample_rows)
+    chosen = ids.select(id_col, "__mark").collect()
+    if not chosen:
+        return []
+    found = usable.where(F.col(id_col).isin([r[0] for r in chosen]) & F.col("__mark").isin([r[1] for r in chosen])).groupBy(id_col, "__mark", lang_col).agg(F.any_value(text_col).alias("__text"))
+    rows = found.select(lang_col, F.lower("__text").cast("binary"), F.crc32(F.col(id_col).cast("string").cast("binary"))).collect()
     return [(r[0], bytes(r[1])) for r in sorted(rows, key=lambda r: (r[2], r[0], bytes(r[1])))]
 
 
@@ -109,18 +114,17 @@ def _predict(
     grams, names, weights = fit([r[1] for r in rows], [r[0] for r in rows], landmarks, ridge) if rows else (np.empty(0, np.uint32), [], None)
     model = docs.sparkSession.sparkContext.broadcast((grams, names, weights))
     keep = [id_col] if keep is None else keep
-    work = docs.select(
-        *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)], held_out(id_col, modulus, remainder).alias("held_out"),
-        F.when(F.col(text_col).rlike(r"\p{L}"), F.lower(text_col).cast("binary")).alias("bytes"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # The text alone goes to Python, and the verdict comes back; all other columns stay where they are.
+    @F.arrow_udf("struct<lang_pred: string, score: double, margin: double>")
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        library_encoder.cache_clear()  # a worker that has encoded texts before holds their words
         grams, names, weights = model.value
         presence = Presence(grams)
-        for batch in batches:
-            said: list[str] = ["und"] * batch.num_rows
-            score, margin = np.zeros(batch.num_rows), np.full(batch.num_rows, np.nan)
-            raw = batch.column(batch.num_columns - 1)
-            usable = [i for i in range(batch.num_rows) if names and raw[i].is_valid]
+        for raw in batches:
+            said: list[str] = ["und"] * len(raw)
+            score, margin = np.zeros(len(raw)), np.full(len(raw), np.nan)
+            usable = np.flatnonzero(raw.is_valid().to_numpy(zero_copy_only=False)).tolist() if names else []
             for at in range(0, len(usable), BATCH):
                 part = usable[at : at + BATCH]
                 x = presence.rows([raw[i].as_buffer().to_pybytes() for i in part])
@@ -131,14 +135,13 @@ def _predict(
                 share = likely / likely.sum(1, keepdims=True)
                 for i, best, s in zip(part, found.argmax(1), share, strict=True):
                     said[i], score[i] = names[best], s[best]
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(said, pa.string()), pa.array(score), pa.array(margin, from_pandas=True)],
-                [*batch.schema.names[:-1], "lang_pred", "score", "margin"])
-
-    kinds = [f"kept_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
-    out = work.mapInArrow(run, ", ".join([*kinds, "held_out boolean, lang_pred string, score double, margin double"]))
-    return out.select(*[F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)], "held_out", "lang_pred", "score", "margin")
+            yield pa.StructArray.from_arrays([pa.array(said, pa.string()), pa.array(score), pa.array(margin, from_pandas=True)], ["lang_pred", "score", "margin"])
+
+    scored = F.when(F.col(text_col).rlike(r"\p{L}"), F.lower(text_col).cast("binary"))
+    work = docs.select(
+        *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)], held_out(id_col, modulus, remainder).alias("held_out"),
+        judge.asNondeterministic()(scored).alias("verdict"))
+    return work.select(*[F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)], "held_out", "verdict.lang_pred", "verdict.score", "verdict.margin")
 
 
 def predict_languages(
