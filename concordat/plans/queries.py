@@ -1151,6 +1151,25 @@ def regions_standard(spark, sf_dir):
         F.col("geometry_center.srid").alias("srid"), F.col("geometry_shape_2154.srid").alias("shape_srid"))
 
 
+@query("population_stored", """
+SELECT CAST(c_custkey AS VARCHAR) AS code, CAST(CASE WHEN c_custkey % 3 = 0 THEN c_custkey + 100000 ELSE c_custkey % 5000 END AS DOUBLE) AS population FROM customer
+""")
+def population_stored(spark, sf_dir):
+    """Population by commune code, of which a third is renewed by a second run."""
+    key = F.col("c_custkey")
+
+    def counted(people: Column, at: str) -> DataFrame:
+        rows = table(spark, sf_dir, "customer").select(
+            key, text(key).alias(models.POPULATION_KEY), text(people).alias(models.POPULATION), F.to_timestamp_ntz(F.lit(at)).alias("last_changed"))
+        return rows
+
+    path = shared_dir(spark, "population")
+    models.population_standard(models.population_typed(counted(key % 5000, "2021-01-01 00:00:00").drop("c_custkey")), path)
+    newer = counted(key + 100000, "2022-01-01 00:00:00").filter("c_custkey % 3 = 0").drop("c_custkey")
+    done = models.population_standard(models.population_typed(newer), path)
+    return done.select(F.col(models.POPULATION_KEY).alias("code"), F.col(f"`{models.POPULATION}`").cast("double").alias("population"))
+
+
 @query("perimeters", """
 WITH newer AS (SELECT * FROM supplier WHERE s_suppkey % 5 = 0)
 SELECT CAST(s_nationkey AS VARCHAR) AS data_owner_id, s_name AS name, 'apcom' AS use_case FROM newer
@@ -1277,6 +1296,18 @@ def geojson_files(spark, sf_dir):
     return done.select("id", "nom", F.round(F.col("geometry.parts")[0][0][0]["x"], 6).alias("x"))
 
 
+@query("delimited_breaks", """
+SELECT CAST(c_custkey AS VARCHAR) AS id, 'Un "mot"' || chr(10) || 'puis; ' || c_name AS nom, c_mktsegment AS segment FROM customer
+""")
+def delimited_breaks(spark, sf_dir):
+    """Values with line breaks, quotes and separators in quotes, in files that are read as they need to be."""
+    nom = F.concat(F.lit('Un "mot"\npuis; '), "c_name")
+    rows = table(spark, sf_dir, "customer").select(text("c_custkey").alias("id"), nom.alias("nom"), F.col("c_mktsegment").alias("segment"))
+    path = shared_dir(spark, "breaks")
+    rows.write.csv(path, header=True, sep=";", escape='"')
+    return files.read_delimited(spark, path)
+
+
 def _collections(features: DataFrame, by: str, path: str, gap: str = " ", head: Column | None = None, tail: Column | None = None) -> None:
     """One collection for each value of a column: the features, commas between them, under a head and over a tail."""
     head = F.lit('{"type": "FeatureCollection", "features": [') if head is None else head
