@@ -376,6 +376,19 @@ def owner_split(spark, sf_dir):
     return registry.owner_view(spark.read.parquet(path), 7)
 
 
+@query("owner_split_all", """
+SELECT c_custkey, c_name, c_nationkey AS data_owner_id, 'data_owner_id=' || c_nationkey AS folder FROM customer
+""")
+def owner_split_all(spark, sf_dir):
+    """All owners' rows as they were written, each with the folder that its file lies in."""
+    path = shared_dir(spark, "owners")
+    registry.split_by_owner(
+        table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("data_owner_id")), path
+    )
+    folder = F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1)
+    return spark.read.parquet(path).select("c_custkey", "c_name", "data_owner_id", folder.alias("folder"))
+
+
 _LATEST_SQL = """
 SELECT DISTINCT ON (user_id) user_id, event_id, event_type, round(value, 6) AS value
 FROM events ORDER BY user_id, ts DESC, event_id DESC
