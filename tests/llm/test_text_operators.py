@@ -195,6 +195,56 @@ def test_label_model_spares_good_and_finds_rare_junk():
     assert post[good] > 0.9 and post[junk] < 0.5
 
 
+def pattern_of(bad=(), silent=()):
+    return sum((1 if k in bad else 0 if k in silent else 2) * 3**k for k in range(len(quality.RULES)))
+
+
+def brute_posterior(counts, rounds=300):
+    """The label model in loops over rows of the corpus, one rule at a time."""
+    total, rules = sum(counts.values()), range(len(quality.RULES))
+    cast = {p: [p // 3**k % 3 for k in rules] for p in counts}
+    good = {p: 0.05 if 1 in v else 0.95 for p, v in cast.items()}
+    (w_bad, m_bad), (w_good, m_good), (w_base, m_base) = quality.BELIEF
+    for _ in range(rounds):
+        rates = []
+        for weight, mean, part in ((w_bad, m_bad, lambda p: 1 - good[p]), (w_good, m_good, lambda p: good[p])):
+            rates.append([])
+            for k in rules:
+                said = sum(n * part(p) for p, n in counts.items() if cast[p][k] == 1) + weight * mean * total
+                rates[-1].append(said / (sum(n * part(p) for p, n in counts.items() if cast[p][k]) + weight * total))
+        base = (sum(n * (1 - good[p]) for p, n in counts.items()) + w_base * m_base * total) / (total * (1 + w_base))
+        for p in counts:
+            odds = [base, 1 - base]
+            for c in (0, 1):
+                for k in rules:
+                    odds[c] *= {0: 1, 1: rates[c][k], 2: 1 - rates[c][k]}[cast[p][k]]
+            good[p] = odds[1] / sum(odds)
+    return good
+
+
+def test_label_model_outvotes_a_rule_that_stands_alone():
+    counts = {pattern_of(): 8000, pattern_of({0}): 300, pattern_of({1, 2, 3}): 500, pattern_of({5, 11}): 400, pattern_of({5, 10, 11}, {0}): 300, pattern_of({0, 1, 2}): 20}
+    post = quality.label_model(counts)
+    wanted = brute_posterior(counts)
+    assert all(abs(post[p] - wanted[p]) < 1e-6 for p in counts)
+    assert post[pattern_of({0})] > 0.5 and post[pattern_of()] > 0.9
+    assert all(post[p] < 0.5 for p in counts if p not in (pattern_of(), pattern_of({0})))
+    larger = quality.label_model({p: 1000 * n for p, n in counts.items()})
+    assert all(abs(larger[p] - post[p]) < 1e-6 for p in counts)
+
+
+def test_quality_verdicts_against_plain_python(spark, docs):
+    counted = Counter(quality.votes(quality.measure((t or "").encode())[1]) for _, t in TEXTS)
+    wanted = brute_posterior(counted)
+    assert len(counted) > 3
+    verdicts = Counter()
+    for i, t in TEXTS:
+        n, *_, repeated = brute_measures(t)
+        verdicts[i, n >= 20 and 100 * repeated <= 30 * n and wanted[quality.votes(quality.measure((t or "").encode())[1])] >= 0.5] += 1
+    assert Counter((r["doc_id"], r["kept"]) for r in quality_rules(docs).collect()) == verdicts
+    assert Counter(r[0] for r in quality.keep_good(docs).select("doc_id").collect()) == Counter(i for (i, kept), n in verdicts.items() if kept for _ in range(n))
+
+
 def shingle_set(text, width):
     words = (text or "").lower().split()
     return frozenset(tuple(words[i : i + width]) for i in range(len(words) - width + 1)) if len(words) >= width else frozenset([tuple(words)]) if words else frozenset()
