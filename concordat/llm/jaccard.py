@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.phrases import WordHashes, runs
-from concordat.llm.shared import components, groups, stored
+from concordat.llm.shared import components, groups, stored, working
 from concordat.llm.substring_dedup import squeeze, unsqueeze
 
 SLOTS = 1 << 21
@@ -222,10 +222,16 @@ def _join_parts(keys: list[str], percent: int):
     return run
 
 
-def _labelled(
-    docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """jaccard_components, and mark, a hash of the text, and part, which names the component; part is null without shingles."""
+def _labelled(docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
+    """jaccard_components, and mark, a hash of the text, and part, which names the component; part is null without shingles.
+
+    Only these labels stay in the shared folder; the sets, lists and links behind them are removed.
+    """
+    with working(docs.sparkSession):
+        return stored(_label(docs, percent, width, id_col, text_col), "labelled", keep=True)
+
+
+def _label(docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     work = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("bytes"))
     work = work.withColumn("mark", F.xxhash64("bytes"))
@@ -373,7 +379,7 @@ def keep_one(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key, text = F.col(f"c{names.index(id_col)}"), F.col(f"c{names.index(text_col)}")
     found = _labelled(plain, percent, width, f"c{names.index(id_col)}", f"c{names.index(text_col)}")
-    found = stored(found.where("n_shingles > 0").select("doc_id", "mark", "part"), "labelled")
+    found = found.where("n_shingles > 0").select("doc_id", "mark", "part")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark"))
     first = found.groupBy("part").agg(least.alias("first"), F.count("*").alias("members")).where("members > 1")
     gone = found.join(first, "part").where(~F.col("doc_id").eqNullSafe(F.col("first.doc_id")) | (F.col("mark") != F.col("first.mark")))

@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,9 @@ from pyspark.sql import functions as F
 
 #: A vocabulary file holds at most some hundred thousand entries; larger files are refused, not broadcast.
 VOCAB_FILE_LIMIT = 64 << 20
+#: Spark's setting that removes an execution's shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_working: ContextVar[list[str] | None] = ContextVar("working", default=None)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -31,10 +36,32 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def working(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are removed at the end, save those stored with keep, and shuffle files after each execution.
+
+    All that leaves the block has to be stored with keep: it reads no working table then. A stage that is repeated after
+    a lost executor finds its input, as the block ends only when what it gives is written.
+    """
+    paths: list[str] = []
+    before, token = spark.conf.get(CLEANUP, "false"), _working.set(paths)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        _working.reset(token)
+        spark.conf.set(CLEANUP, before)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored(frame: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """The rows of frame, written once to the shared folder and read back: cuts the lineage and survives lost executors."""
     spark = frame.sparkSession
     path = scratch(spark, name)
+    if not keep and (paths := _working.get()) is not None:
+        paths.append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

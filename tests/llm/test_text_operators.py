@@ -5,6 +5,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -21,6 +22,7 @@ from concordat.llm.langid import keep_languages, predict_languages
 from concordat.llm.packing import pack_documents
 from concordat.llm.ppm import ORDER, language_model_scores
 from concordat.llm.quality import quality_rules
+from concordat.llm.shared import scratch
 from concordat.llm.substring_dedup import drop_repeats, duplicate_spans
 from concordat.llm.token_files import token_files as write_and_read
 from concordat.llm.url_rules import filter_urls
@@ -476,6 +478,14 @@ def test_halves_of_stated_rules_block_nothing(spark):
     assert {u: got[len(urls) + k] for k, u in enumerate(asked)} == asked and len(got) == len(urls) + len(asked)
 
 
+def test_near_copies_leave_only_their_labels(spark, docs):
+    folder = Path(scratch(spark, "any").removeprefix("file:")).parent
+    before = set(folder.iterdir()) if folder.exists() else set()
+    kept = jaccard.keep_one(docs)
+    assert [p.name.split("-")[0] for p in set(folder.iterdir()) - before] == ["labelled"]
+    assert 0 < kept.count() < docs.count()
+
+
 def test_pipeline_stages_keep_columns(spark, docs, empty):
     for frame in (docs, empty):
         for name, stage in corpus_pipeline.STAGES:
