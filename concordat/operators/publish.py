@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import re
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,8 +98,9 @@ def build_manifest(
 ) -> DataFrame:
     """One line per partition: rows, checksum, columns, and the action against ``previous``.
 
-    ``create`` is a new partition, ``skip`` an unchanged one, ``update`` one with other content.
-    When the columns differ from those published, the resource cannot be updated: it is created
+    ``create`` is a new partition, ``skip`` an unchanged one, ``update`` one with other content, ``delete`` one
+    that is no longer in the table; it has no rows and the columns and name it was published with. A partition that comes
+    back is new. When the columns differ from those published, the resource cannot be updated: it is created
     again under a name that starts with ``stamp``.
     """
     # The sum of row hashes does not depend on row order; a decimal keeps it from overflowing.
@@ -114,24 +117,49 @@ def build_manifest(
     )
     if previous is None:
         return lines.withColumns({"action": F.lit("create"), "resource_name": F.col("relation")})
-    before = previous.select(
+    before = previous.filter(F.col("action") != "delete").select(
         *MANIFEST_KEYS, F.col("rows").alias("__rows"), F.col("checksum").alias("__checksum"),
         F.col("fields").alias("__fields"), F.col("resource_name").alias("__name"),
     )
-    joined = lines.join(before, list(MANIFEST_KEYS), "left")
+    joined = lines.join(before, list(MANIFEST_KEYS), "full")
+    gone = F.col("rows").isNull()
     same = (F.col("rows") == F.col("__rows")) & (F.col("checksum") == F.col("__checksum"))
-    conflict = F.col("__fields") != F.col("fields")
+    conflict = F.coalesce(F.col("__fields") != F.col("fields"), F.lit(False))
     action = (
-        F.when(F.col("__rows").isNull() | conflict, "create").when(same, "skip").otherwise("update")
+        F.when(gone, "delete").when(F.col("__rows").isNull() | conflict, "create").when(same, "skip").otherwise("update")
     )
     sibling = F.concat_ws("_", F.lit(stamp) if stamp else iso(F.current_timestamp()), "relation")
-    return joined.withColumns(
-        {
-            "action": action,
-            # A sibling stays the resource of its partition until the next conflict.
-            "resource_name": F.when(F.coalesce(conflict, F.lit(False)), sibling).otherwise(F.coalesce("__name", "relation")),
-        }
-    ).drop("__rows", "__checksum", "__fields", "__name")
+    return joined.select(
+        *MANIFEST_KEYS, F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("checksum", F.lit("0")).alias("checksum"),
+        F.coalesce("fields", "__fields").alias("fields"), F.lit(title(role, target)).alias("title"),
+        F.lit(is_private(role, target)).alias("private"), action.alias("action"),
+        # A sibling stays the resource of its partition until the next conflict.
+        F.when(conflict, sibling).otherwise(F.coalesce("__name", "relation")).alias("resource_name"),
+    )
+
+
+def _unfinished(previous: DataFrame | None, intent: DataFrame) -> DataFrame:
+    """What is published after a run that stopped half-way: partitions it meant to change hold nobody knows what."""
+    changed = intent.filter(F.col("action") != "skip").drop("run")
+    # No table has fewer than no rows, so such a partition is never skipped.
+    unknown = changed.withColumns({"rows": F.lit(-1).cast("long"), "action": F.lit("update")})
+    if previous is None:
+        return unknown
+    return previous.drop("run").join(changed, list(MANIFEST_KEYS), "left_anti").unionByName(unknown)
+
+
+def _remove(spark: SparkSession, root: str, gone: DataFrame) -> None:
+    """Remove the files of partitions that are gone. One row a partition and one path a file reach the driver."""
+    folders = [(r[0], r[1]) for r in gone.select("resource_name", "partition").collect()]
+    if not folders:
+        return
+    # Partition values are text as they were written, so "01" stays apart from "1".
+    files = spark.read.schema("line string, resource_name string, partition string").csv(root)
+    part = F.coalesce("partition", F.lit(""))
+    wanted = reduce(or_, [(F.col("resource_name") == name) & (part == value) for name, value in folders])
+    for row in files.filter(wanted).select(F.col("_metadata.file_path").alias("path")).distinct().collect():
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row.path))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
 
 
 def publish(
@@ -145,9 +173,10 @@ def publish(
     prefix_regex: str | None = None,
     stamp: str | None = None,
 ) -> DataFrame:
-    """Write the partitions that changed since the last run as CSV, and return the manifest.
+    """Write the partitions that changed since the last run as CSV, remove those that are gone, and return the manifest.
 
-    Rows are rebalanced by partition before the write: adaptive execution splits a very large
+    What a run means to change is written first, and joins the manifest when all of it is done. The run after one that
+    stopped half-way writes all partitions again that the stopped one meant to change. Rows are rebalanced by partition before the write: adaptive execution splits a very large
     owner among many tasks and gathers small ones, so files have an even size.
     """
     spark = df.sparkSession
@@ -160,19 +189,23 @@ def publish(
     if history is not None:
         runs = history.agg(F.max("run")).first()[0] + 1
         previous = history.filter(F.col("run") == runs - 1)
+    attempt = 0
+    while (intent := read_if_exists(spark, f"{root}/_pending/{relation}/run{runs}-{attempt}")) is not None:
+        previous, attempt = _unfinished(previous, intent), attempt + 1
     manifest = build_manifest(frame, relation, published_by, previous, role, target, stamp=stamp)
     # Writing it fixes it: later steps read the same lines without scanning the table again.
-    pending = f"{root}/_pending/{relation}/run{runs}"
-    manifest.withColumn("run", F.lit(runs)).write.mode("overwrite").parquet(pending)
+    pending = f"{root}/_pending/{relation}/run{runs}-{attempt}"
+    manifest.withColumn("run", F.lit(runs)).write.parquet(pending)
     manifest = spark.read.parquet(pending)
 
     part = "partition"
     key = F.lit("all") if published_by is None else F.coalesce(F.col(f"`{published_by}`").cast("string"), F.lit(""))
-    changed = manifest.filter(F.col("action") != "skip").select(part, "resource_name")
+    changed = manifest.filter(F.col("action").isin("create", "update")).select(part, "resource_name")
     body = frame.withColumn(part, key).join(changed, part).hint("rebalance", "resource_name", part)
     (
         body.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True)
         .partitionBy("resource_name", part).csv(root)
     )
+    _remove(spark, root, manifest.filter(F.col("action") == "delete"))
     manifest.write.mode("append").parquet(f"{root}/_manifest/{relation}")
     return manifest

@@ -1254,6 +1254,33 @@ def publish_csv(spark, sf_dir):
     return done.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_orderpriority", "partition")
 
 
+@query("publish_conflict", """
+WITH runs AS (
+  SELECT 0 AS run, 'commandes' AS resource_name, 'create' AS action, o_orderstatus AS "partition", count(*) AS rows FROM orders GROUP BY ALL
+  UNION ALL
+  SELECT 1, 'commandes', CASE o_orderstatus WHEN 'F' THEN 'skip' WHEN 'O' THEN 'update' ELSE 'delete' END, o_orderstatus,
+         count(*) FILTER (WHERE o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_orderkey % 3 = 0)) FROM orders GROUP BY ALL
+  UNION ALL
+  SELECT 2, '2024-01-01_commandes', 'create', o_orderstatus, count(*) FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL)
+SELECT run, resource_name, action, "partition", rows FROM runs
+UNION ALL
+SELECT run, resource_name, 'published', "partition", rows FROM runs WHERE run = 2 OR (run = 1 AND action <> 'delete')
+""")
+def publish_conflict(spark, sf_dir):
+    """Three runs: all orders; one status less and another one changed; more columns. Then what lies in the files."""
+    lines, path = _order_lines(spark, sf_dir), shared_dir(spark, "conflict")
+    fewer = lines.filter("o_orderstatus = 'F' or (o_orderstatus = 'O' and o_orderkey % 3 = 0)")
+    wider = lines.filter("o_orderstatus <> 'P'").withColumn("urgent", F.col("o_orderpriority") == "1-URGENT")
+    publish.publish(lines, path, "commandes", "o_orderstatus")
+    publish.publish(fewer, path, "commandes", "o_orderstatus")
+    publish.publish(wider, path, "commandes", "o_orderstatus", stamp="2024-01-01")
+    columns = ["resource_name", "action", "partition", "rows"]
+    noted = spark.read.parquet(f"{path}/_manifest/commandes").select("run", *columns)
+    found = spark.read.csv(path, header=True).groupBy("resource_name", "partition").agg(F.count(F.lit(1)).alias("rows"))
+    run = F.when(F.col("resource_name") == "commandes", 1).otherwise(2)
+    return noted.union(found.withColumns({"run": run, "action": F.lit("published")}).select("run", *columns))
+
+
 @query("jsonld_entities", """
 SELECT 'urn:commune:' || c_custkey AS id, 'Commune' AS type, 'Point' AS location_type, CAST(n_nationkey AS VARCHAR) AS dep_code,
        n_name AS dep_name, r_name AS reg_name, c_name AS com_name,

@@ -46,6 +46,34 @@ def test_publish_writes_only_changes(spark, tmp_path):
     assert read() == [1, 2, 4, 5]
 
 
+def test_gone_and_interrupted_partitions(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    rows = lambda *pairs: spark.createDataFrame(pairs, "n int, owner string")
+    actions = lambda m: {r.partition: (r.rows, r.action, r.resource_name) for r in m.collect()}
+    read = lambda: sorted(int(r.n) for r in spark.read.csv(path, header=True).collect())
+    publish.publish(rows((1, "01"), (2, "1"), (3, None), (4, "x y/é")), path, "t", "owner")
+    got = actions(publish.publish(rows((2, "1"), (3, None)), path, "t", "owner"))
+    assert got == {"01": (0, "delete", "t"), "1": (1, "skip", "t"), "": (1, "skip", "t"), "x y/é": (0, "delete", "t")}
+    assert read() == [2, 3]
+    # What was deleted is not named again, and is new when it is back.
+    got = actions(publish.publish(rows((1, "01"), (2, "1")), path, "t", "owner"))
+    assert got == {"01": (1, "create", "t"), "1": (1, "skip", "t"), "": (0, "delete", "t")} and read() == [1, 2]
+
+    # A run that stops after its files are written, with the manifest as it was.
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(publish, "_remove", stop)
+        for _ in range(2):
+            with pytest.raises(RuntimeError):
+                publish.publish(rows((5, "01"), (7, "new")), path, "t", "owner")
+    # Content as the manifest knows it, other than the files: it is written again, not skipped.
+    got = actions(publish.publish(rows((1, "01"), (2, "1")), path, "t", "owner"))
+    assert got == {"01": (1, "update", "t"), "1": (1, "update", "t"), "new": (0, "delete", "t")} and read() == [1, 2]
+    assert {a for _, a, _ in actions(publish.publish(rows((1, "01"), (2, "1")), path, "t", "owner")).values()} == {"skip"}
+
+
 def test_large_partitions_are_spread(spark, tmp_path):
     df = spark.range(0, 40000, 1, 8).select("id", F.when(F.col("id") % 10 < 9, "big").otherwise("small").alias("owner"))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50KB")
