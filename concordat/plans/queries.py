@@ -1348,6 +1348,17 @@ def delimited_breaks(spark, sf_dir):
     return files.read_delimited(spark, path)
 
 
+@query("delimited_texts", r"""
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, regexp_replace(text, '\r\n?', chr(10), 'g') AS text, source FROM documents
+""")
+def delimited_texts(spark, sf_dir):
+    """Whole documents as values of delimited text: most lines are inside quotes."""
+    path = shared_dir(spark, "texts")
+    rows = table(spark, sf_dir, "documents").select(text("doc_id").alias("doc_id"), "text", "source")
+    rows.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return files.read_delimited(spark, path)
+
+
 def _collections(features: DataFrame, by: str, path: str, gap: str = " ", head: Column | None = None, tail: Column | None = None) -> None:
     """One collection for each value of a column: the features, commas between them, under a head and over a tail."""
     head = F.lit('{"type": "FeatureCollection", "features": [') if head is None else head

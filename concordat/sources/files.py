@@ -16,9 +16,9 @@ from concordat.names import Names
 from concordat.operators.union import fold_union
 from concordat.sources.geojson import MalformedText, read_geojson
 from concordat.sources.raw import ParquetTables, table_key
+from concordat.sources.records import BOM, BYTE_ENCODINGS, quoted_records
 
 SEPARATORS = (";", ",", "\t", "|")
-BOM = "\ufeff"
 _CORRUPT = "__corrupt"
 
 
@@ -59,7 +59,8 @@ def read_delimited(
 
     The separator comes from the first line, a byte order mark is dropped, and files that are not
     UTF-8 are read as Latin-1. Line breaks in quotes are found where a line leaves a quote open;
-    such files are read by one task each. Naming the ``encoding`` and ``multi_line`` saves the pass
+    the records of such files are put together by ``quoted_records``, split by bytes like all others
+    (in an encoding of two bytes or more, by one task per file). Naming the ``encoding`` and ``multi_line`` saves the pass
     over the files that finds out. A row with more fields than the header fails the read.
     """
     paths = [path] if isinstance(path, str) else list(path)
@@ -81,7 +82,12 @@ def read_delimited(
         options = {"sep": sep, "quote": '"', "escape": '"', "encoding": charset, "multiLine": broken}
         named = spark.read.csv(members[0], header=True, inferSchema=False, **options).columns
         schema = T.StructType([T.StructField(c, T.StringType()) for c in [*named, _CORRUPT]])
-        df = spark.read.schema(schema).csv(members, header=True, enforceSchema=True, columnNameOfCorruptRecord=_CORRUPT, **options)
+        if broken and charset.upper() in BYTE_ENCODINGS:
+            records = quoted_records(spark, members, sep, charset.upper()).filter(~F.col("header"))
+            wanted = {"sep": sep, "quote": '"', "escape": '"', "columnNameOfCorruptRecord": _CORRUPT}
+            df = records.select(F.from_csv("record", schema.toDDL(), wanted).alias("r")).select("r.*")
+        else:
+            df = spark.read.schema(schema).csv(members, header=True, enforceSchema=True, columnNameOfCorruptRecord=_CORRUPT, **options)
         bare = F.regexp_replace(_CORRUPT, r'"(?:[^"]|"")*"', "")
         extra = F.coalesce(F.regexp_count(bare, F.lit(re.escape(sep))) >= len(named), F.lit(False))
         error = F.raise_error(F.concat(F.lit("a row has more fields than the header: "), F.substring(_CORRUPT, 1, 200)))

@@ -2,6 +2,8 @@
 
 import datetime
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from concordat.operators.dedupe import dedupe
 from concordat.operators.link import CARRIED, MARK_COLUMN, MARKER, marked
 from concordat.sources.files import load_resources, read_delimited, read_geojson
 from concordat.sources.raw import ParquetTables
+from concordat.sources.records import open_line, quoted_records
 
 FEATURES = [
     {"type": "Feature", "properties": {"nom": f"n{i}", "geometry": "p"}, "geometry": {"type": "Point", "coordinates": [i, 45.0]}}
@@ -58,6 +61,53 @@ def small_splits(spark):
     spark.conf.set("spark.sql.files.openCostInBytes", before[1])
 
 
+def _breaks(seed: int, rows: int):
+    """Rows of an id, any text and a value whose quotes open nothing, and them as delimited text with a header of two lines."""
+    r = random.Random(seed)
+    made = []
+    for i in range(rows):
+        length = r.choice([0, 3, 12, 400 if i % 40 == 0 else 5])
+        made.append((str(i), "".join(r.choice(["a", "é", '"', "\n", ";", ",", "x y", '""', "\n\n"]) for _ in range(length)), r.choice(["p", '5" pipe', "", 'q"r'])))
+    quoted = lambda v: '"' + v.replace('"', '""') + '"' if re.search('[";\n]', v) else v
+    lines = [f"{a};{quoted(b)};{c}" for a, b, c in made]
+    return made, '"id";nom;"la\nst"\n' + "\n".join(lines) + "\n"
+
+
+@pytest.mark.parametrize("size", ["128m", "700b", "97b"])
+@pytest.mark.parametrize("charset", ["utf-8-sig", "latin-1"])
+def test_breaks_in_quotes_are_found_across_splits(spark, tmp_path, small_splits, size, charset):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    wanted, text = _breaks(3, 200)
+    (tmp_path / "a.csv").write_bytes(text.encode(charset))
+    (tmp_path / "b.csv").write_bytes(text.replace("\n", "\r\n").encode(charset))
+    done = read_delimited(spark, str(tmp_path))
+    assert done.columns == ["id", "nom", "la\nst"]
+    empty = [tuple(v or None for v in row) for row in wanted] * 2
+    assert sorted(map(tuple, done.collect()), key=str) == sorted(empty, key=str)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" not in plan
+
+
+def test_records_with_blank_lines_open_ends_and_extra_fields(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('\n \na,b\n1,"x\n\ny"\n\n  \n2,"x"y"z\n3\n4,"never\nclosed\n')
+    records = [tuple(r) for r in quoted_records(spark, [str(path)], ",").collect()]
+    assert sorted(records) == sorted([("a,b", True), ('1,"x\n\ny"', False), ('2,"x"y"z', False), ("3", False), ('4,"never\nclosed', False)])
+    path.write_text("")
+    assert quoted_records(spark, [str(path)], ",").count() == 0
+    path.write_text('a,b\n1,"x\ny",3\n')
+    with pytest.raises(Exception, match="more fields than the header"):
+        read_delimited(spark, str(path)).collect()
+
+
+@pytest.mark.parametrize("line,opens", [
+    ("a;b", False), ('"a', True), ('"a"', False), ('a"b', False), ('a;"b', True), ('a;"b""', True), ('a;"b"""', False),
+    ('"a"x"y;"b', True), ('"a;b', True), ('"a;"b', False), ("", False), ('"', True), ('""', False), ('"' + 'x""' * 200000, True)])
+def test_lines_that_end_inside_quotes(spark, line, opens):
+    df = spark.createDataFrame([(line,)], "value string")
+    assert df.select(F.col("value").rlike(open_line(";"))).first()[0] is opens
+
+
 TRICKY = [
     {"properties": {"nom": f'n{i} \\" }}}},{{"type": "Feature" [', "geometry": "{", "more": {"type": "Feature", "l": [{"a": i}, {"a": 1}]}},
      "geometry": {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [i, 45.0]}, {"type": "Point", "coordinates": [i, 46.0]}]}}
