@@ -7,6 +7,7 @@ whole tables by a formula that its SQL repeats. The SQL says what must come out,
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -844,8 +845,7 @@ FROM p"""
     return "\nUNION ALL\n".join(parts)
 
 
-@query("column_profile", _profile_sql())
-def column_profile(spark, sf_dir):
+def _profiled_frames(spark, sf_dir) -> dict[str, DataFrame]:
     frames = {}
     for name, columns in _PROFILED.items():
         df = table(spark, sf_dir, name)
@@ -853,7 +853,12 @@ def column_profile(spark, sf_dir):
             key = F.col("n_nationkey") % 5
             df = df.withColumn("n_gap", F.when(key == 0, "a").when(key == 1, "b"))
         frames[name] = df.select(*[F.col(c).cast(k).alias(c) if k else F.col(c) for c, k in columns.items()])
-    done = profile.profile(spark, frames)
+    return frames
+
+
+@query("column_profile", _profile_sql())
+def column_profile(spark, sf_dir):
+    done = profile.profile(spark, _profiled_frames(spark, sf_dir))
     return done.select(
         "table_name", "column_name", "table_rows", "count_not_nulls", "count_nulls",
         F.round("pct_not_null", 6).alias("pct_not_null"), "count_distinct_values",
@@ -866,6 +871,49 @@ def column_profile(spark, sf_dir):
     )
 
 
+_APPROX_SQL = f"""
+SELECT table_name, column_name, table_rows, count_not_nulls, count_nulls, min_value, max_value, avg_value, min_length, max_length,
+  avr_length, ordinal_position, TRUE AS distinct_within, TRUE AS frequent_within, TRUE AS quartiles_within
+FROM ({_profile_sql()})
+"""
+
+
+@query("column_profile_approx", _APPROX_SQL)
+def column_profile_approx(spark, sf_dir):
+    """The profile from merged sketches of two parts of each table, and whether it keeps its bounds (4 standard errors)."""
+    frames = _profiled_frames(spark, sf_dir)
+    parts = [
+        profile.profile_sketches(spark, {n: df.filter((F.xxhash64(*df.columns) < 0) == one) for n, df in frames.items()})
+        for one in (True, False)
+    ]
+    done = profile.profile_from_sketches(profile.merge_sketches(parts))
+    counted = [
+        profile.unpivot(df, 1).groupBy("column_number", "column_value").count().select(F.lit(n).alias("of"), "*") for n, df in frames.items()]
+    cells = reduce(DataFrame.unionByName, counted).filter("column_value IS NOT NULL")
+    here = (F.col("of") == F.col("table_name")) & (F.col("column_number") == F.col("ordinal_position"))
+    number = F.col("column_value").try_cast("double")
+    numbers = F.sum(F.when(number.isNotNull(), F.col("count")))
+
+    def rank_fits(i: int, share: float) -> Column:
+        """Whether the wanted share lies between that of smaller numbers and that of numbers up to the quartile."""
+        edge, n = F.col("_quartiles")[i], F.col("count")
+        below, up_to = F.sum(F.when(number < edge, n).otherwise(0)), F.sum(F.when(number <= edge, n).otherwise(0))
+        return (below / numbers <= share + profile.RANK_ERROR) & (up_to / numbers >= share - profile.RANK_ERROR)
+
+    exact = cells.join(F.broadcast(done.select("table_name", "ordinal_position", "_quartiles", "_most_frequent_value")), here)
+    checks = exact.groupBy("table_name", "ordinal_position").agg(
+        F.count(F.lit(1)).alias("values"), F.max("count").alias("most"),
+        F.max(F.when(F.col("column_value") == F.col("_most_frequent_value"), F.col("count"))).alias("named"),
+        F.coalesce(rank_fits(0, 0.25) & rank_fits(1, 0.5) & rank_fits(2, 0.75), numbers.isNull()).alias("quartiles_within"))
+    slack = profile.FREQUENT_ERROR * F.col("table_rows")
+    return done.join(checks, ["table_name", "ordinal_position"]).select(
+        "table_name", "column_name", "table_rows", "count_not_nulls", "count_nulls", F.col("_min_value").alias("min_value"),
+        F.col("_max_value").alias("max_value"), F.round("_avg_value", 4).alias("avg_value"), F.col("_min_length").alias("min_length"),
+        F.col("_max_length").alias("max_length"), F.col("_avr_length").alias("avr_length"), "ordinal_position",
+        (F.abs(F.col("count_distinct_values") - F.col("values")) <= F.greatest(F.lit(0.5), 4 * profile.DISTINCT_ERROR * F.col("values"))).alias("distinct_within"),
+        (F.col("most") - F.coalesce("named", F.lit(0)) <= slack).alias("frequent_within"), "quartiles_within")
+
+
 _NODE_SQL = """
 WITH nodes AS (
   SELECT p_partkey, 'ventes_' || lower(p_type) || CASE p_partkey % 4 WHEN 0 THEN '_definition' WHEN 1 THEN '_sample_x'

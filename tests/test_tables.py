@@ -199,6 +199,33 @@ def test_replacing_twice_is_replacing_once(spark, old, new):
     assert sorted_rows(once) == sorted([r for r in old if r[0] not in keys_] + new, key=str)
 
 
+def test_profile_from_sketches(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 10).alias("n"), F.concat(F.lit("x"), F.col("id")).alias("key"),
+        F.lit(None).cast("string").alias("none"), F.array(F.col("id") % 2).alias("list"), F.lit(1).alias("a-b"))
+    exact = {r.column_name: r.asDict() for r in profile.profile(spark, {"t": df}).collect()}
+    approx = {r.column_name: r.asDict() for r in profile.profile(spark, {"t": df, "empty": df.limit(0)}, approx=True).collect()}
+    assert set(approx) == set(exact) == {"n", "key", "none", "list"}
+    for name, row in exact.items():
+        unsure = {"count_distinct_values", "pct_unique"} | ({"_most_frequent_value"} if name == "key" else set())
+        assert {k: v for k, v in row.items() if k not in unsure} == {k: approx[name][k] for k in row if k not in unsure}
+        assert abs(approx[name]["count_distinct_values"] - row["count_distinct_values"]) <= 4 * profile.DISTINCT_ERROR * row["count_distinct_values"]
+    # Every value of the key is met once, so any of them may be named; its count is too high by the bound at most.
+    assert approx["key"]["_quartiles"] is None
+    assert (approx["key"]["_most_frequent_count"] or 0) <= 1 + profile.FREQUENT_ERROR * 3000
+    assert all(abs(a - b) <= 1 for a, b in zip(approx["n"]["_quartiles"], [2, 4.5, 7]))
+    parts = [profile.profile_sketches(spark, {"t": df.filter(p)}) for p in ("n < 4", "n >= 4", "n IS NULL", "false")]
+    merged = {r.column_name: r.asDict() for r in profile.profile_from_sketches(profile.merge_sketches(parts)).collect()}
+    for name, row in merged.items():
+        same = [k for k in row if k not in ("_quartiles", "count_distinct_values", "pct_unique") and "frequent" not in k]
+        assert [row[k] for k in same] == [approx[name][k] for k in same]
+        assert row["count_distinct_values"] == pytest.approx(exact[name]["count_distinct_values"], rel=4 * profile.DISTINCT_ERROR)
+    assert merged["n"]["_most_frequent_value"] == exact["n"]["_most_frequent_value"]
+    # One row of sketches per task and table is shuffled, and no cell is.
+    plan = profile.profile_sketches(spark, {"t": df})._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.index("Generate") < plan.index("partial_hll_sketch_agg(v0") and "SortAggregate" not in plan
+
+
 def test_profile(spark):
     df = spark.createDataFrame([("a", "1", None), ("b", "2", None), ("b", "x", None), ("a", None, None)], "t string, n string, v string")
     odd = df.select("t", F.col("n").alias("with-dash"))
