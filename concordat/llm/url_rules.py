@@ -2,7 +2,8 @@
 
 Everything is a DataFrame operation. The items of a URL are its host labels, path segments and query keys; a number
 counts as one item whatever its digits. Transactions of labelled URLs carry their verdict as one more item. Rules whose
-consequent is a verdict are kept at the given support and confidence and indexed by their rarest item.
+consequent is a verdict are kept at the given support and confidence, if the lower bound of their confidence exceeds
+the share of the verdict where they do not apply, and indexed by their rarest item.
 """
 
 from __future__ import annotations
@@ -60,18 +61,33 @@ def stated_items(rules: Sequence[Rule]) -> list[str]:
     return sorted({*hosts, *(f"path:{re.sub('[0-9]+', '0', x)}" for _, _, p in rules for x in re.split("[/._-]", p) if x)})
 
 
-def mine_rules(labelled: DataFrame, min_support: float, min_confidence: float, stated: Sequence[str] = ()) -> DataFrame:
-    """(items, said, confidence, support) of the rules that FP-growth finds in labelled(items, verdict).
+def lower_bound(share: Column, n: Column, z: float) -> Column:
+    """Wilson's lower bound of a share seen in n cases: a share of 1 is worth little in three cases and much in 200."""
+    spread = z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
+    return (share + z * z / (2 * n) - spread) / (1 + z * z / n)
 
+
+def mine_rules(
+    labelled: DataFrame, min_support: float, min_confidence: float, stated: Sequence[str] = (), z: float = 1.96
+) -> DataFrame:
+    """(items, said, bound, confidence, support) of the rules that FP-growth finds in labelled(items, verdict).
+
+    bound is the lower bound of the confidence (z: standard errors); it has to exceed the verdict's share among the
+    other labelled rows, those without all of the rule's items. A rule that has no others says nothing.
     Items in stated are left out: they agree with the labels of the stated rules by construction, alone or beside any other.
     """
     rest = F.array_except("items", F.array(*map(F.lit, stated)).cast("array<string>"))
     labelled = labelled.select(rest.alias("items"), "verdict").where(F.size("items") > 0)
     baskets = labelled.select(F.array_append("items", F.concat(F.lit(VERDICT), "verdict")).alias("items"))
     rules = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets).associationRules
-    said = F.col("consequent")[0]
-    return rules.where(said.startswith(VERDICT) & ~F.exists("antecedent", lambda x: x.startswith(VERDICT))).select(
-        F.col("antecedent").alias("items"), F.substring(said, len(VERDICT) + 1, 99).alias("said"), "confidence", "support")
+    total = baskets.count()
+    # Counts of rows, whole numbers again: with the rule's items, with its verdict too, with its verdict at all.
+    hits = F.round(F.col("support") * total)
+    seen, all_said = F.round(hits / F.col("confidence")), F.round(F.col("confidence") / F.col("lift") * total)
+    others = F.try_divide(all_said - hits, total - seen)
+    said, bound = F.col("consequent")[0], lower_bound(F.col("confidence"), seen, z)
+    return rules.where((bound > others) & said.startswith(VERDICT) & ~F.exists("antecedent", lambda x: x.startswith(VERDICT))).select(
+        F.col("antecedent").alias("items"), F.substring(said, len(VERDICT) + 1, 99).alias("said"), bound.alias("bound"), "confidence", "support")
 
 
 def filter_urls(
@@ -80,8 +96,8 @@ def filter_urls(
 ) -> DataFrame:
     """One row per page: page_id, host, path, rule (host and path of the stated rule, else null), verdict, and items.
 
-    The hosts and paths of the stated rules are not mined. Without a stated rule the mined rule of the highest confidence decides; ties go to the higher support, then to more
-    items, then to block. Without any the default holds, as for a null URL or one without ://. Rows are neither merged
+    The hosts and paths of the stated rules are not mined. Without a stated rule the mined rule with the highest lower
+    bound of its confidence decides; ties go to the higher support, then to more items, then to block. Without any the default holds, as for a null URL or one without ://. Rows are neither merged
     nor dropped; a null id stays null; an empty table gives no rows; with no labelled page nothing is mined.
     """
     url = F.col(url_col)
@@ -98,12 +114,12 @@ def filter_urls(
     sets = judged.where(F.col("stated").isNull() & (F.size("items") > 0)).groupBy("items").agg(F.count("*").alias("n"))
     uses = sets.select(F.explode("items").alias("item"), "n").groupBy("item").agg(F.sum("n").alias("uses"))
     # Each rule is listed under its rarest item, so a common item brings up few rules.
-    listed = mined.select("*", F.explode("items").alias("item")).join(uses, "item").groupBy("items", "said", "confidence", "support").agg(
+    listed = mined.select("*", F.explode("items").alias("item")).join(uses, "item").groupBy("items", "said", "bound", "support").agg(
         F.min(F.struct("uses", "item")).alias("key"), F.count("*").alias("known"))
     index = listed.where(F.col("known") == F.size("items")).select(
-        F.col("key.item").alias("item"), F.col("items").alias("needs"), "said", "confidence", "support")
+        F.col("key.item").alias("item"), F.col("items").alias("needs"), "said", "bound", "support")
     hits = sets.select("items", F.explode("items").alias("item")).join(index, "item").where(F.size(F.array_except("needs", "items")) == 0)
-    best = hits.groupBy("items").agg(F.max(F.struct("confidence", "support", F.size("needs").alias("width"), "said")).alias("best"))
+    best = hits.groupBy("items").agg(F.max(F.struct("bound", "support", F.size("needs").alias("width"), "said")).alias("best"))
     verdicts = best.select(F.col("items").alias("set_items"), F.col("best.said").alias("mined"))
     return judged.join(verdicts, F.col("stated").isNull() & (F.col("items") == F.col("set_items")), "left").select(
         "page_id", "host", "path", "rule", F.coalesce("stated", "mined", F.lit(default)).alias("verdict"), "items")

@@ -5,6 +5,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 from pathlib import Path
 
 import numpy as np
@@ -25,7 +26,7 @@ from concordat.llm.quality import quality_rules
 from concordat.llm.shared import scratch
 from concordat.llm.substring_dedup import drop_repeats, duplicate_spans
 from concordat.llm.token_files import token_files as write_and_read
-from concordat.llm.url_rules import filter_urls
+from concordat.llm.url_rules import filter_urls, mine_rules
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 CONTENT = open(VOCABULARY, encoding="utf-8").read()
@@ -478,6 +479,38 @@ def test_halves_of_stated_rules_block_nothing(spark):
     assert {u: got[len(urls) + k] for k, u in enumerate(asked)} == asked and len(got) == len(urls) + len(asked)
 
 
+def test_url_rules_need_more_than_the_share_of_other_pages(spark):
+    """A rule of three pages loses to one of 200, and one that says what most pages are anyway is none."""
+    rules = [("block", "bad.com", "/"), ("allow", "good.com", "/")]
+    urls = [f"http://bad.com/{'rare/' if k < 3 else ''}x{chr(97 + k % 26)}" for k in range(300)] + [f"http://good.com/news/{'abc'[k % 3]}" for k in range(200)]
+    asked = {"http://else.com/rare": "allow", "http://else.com/rare/news": "allow", "http://else.com/news": "allow", "http://else.com/xa": "block", "http://else.com/other": "allow"}
+    frame = spark.createDataFrame(list(enumerate([*urls, *asked])), "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in filter_urls(frame, rules).collect()}
+    assert {u: got[len(urls) + k] for k, u in enumerate(asked)} == asked
+
+
+def test_mined_url_rules_against_counting(spark):
+    """Every itemset of the labelled rows counted in plain Python gives the same rules and bounds."""
+    r = random.Random(5)
+    rows = [(sorted(r.sample("abcdef", r.randint(1, 4))), r.choice(["allow", "block", "block"])) for _ in range(150)]
+    rows = [(items, "block" if "a" in items and r.random() < 0.95 else said) for items, said in rows]
+    got = {(tuple(sorted(x["items"])), x["said"]): x["bound"] for x in mine_rules(spark.createDataFrame(rows, "items array<string>, verdict string"), 0.02, 0.7, ["f"]).collect()}
+    left = [({*items} - {"f"}, said) for items, said in rows if {*items} - {"f"}]
+    wanted = {}
+    for width in range(1, 5):
+        for items in combinations("abcde", width):
+            seen = [said for have, said in left if have >= {*items}]
+            for said in ("allow", "block"):
+                hits, n, z2 = seen.count(said), len(seen), 1.96**2
+                if not n or hits < math.ceil(0.02 * len(left)) or hits / n < 0.7:
+                    continue
+                p = hits / n
+                bound = (p + z2 / (2 * n) - math.sqrt(z2 * (p * (1 - p) / n + z2 / (4 * n * n)))) / (1 + z2 / n)
+                if n < len(left) and bound > (sum(x == said for _, x in left) - hits) / (len(left) - n):
+                    wanted[items, said] = pytest.approx(bound)
+    assert got == wanted and len(wanted) > 2
+
+
 def test_near_copies_leave_only_their_labels(spark, docs):
     folder = Path(scratch(spark, "any").removeprefix("file:")).parent
     before = set(folder.iterdir()) if folder.exists() else set()
