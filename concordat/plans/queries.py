@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concordat.functions import geometry as G
-from concordat.functions.casts import fold_text, namespace_uuid
+from concordat.functions.casts import fold_text, namespace_uuid, to_date, to_timestamp
 from concordat.operators import (
     catalog, conform, dedupe, dictionary, imports, incremental, jsonld, keys, kpi, link, meta, profile, publish,
     registry, union,
@@ -488,6 +488,18 @@ def lenient_cast(spark, sf_dir):
     return typed.withColumns({"num": F.round(F.col("num").cast("double"), 6), "day": text("day")})
 
 
+@query("zoned_dates", """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') || ' 07:05:09' AS stamp, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders
+""")
+def zoned_dates(spark, sf_dir):
+    """Stamps with a zone, which is passed over, and days and months of one digit."""
+    zone = _cases(F.col("o_orderkey") % 3, ["Z", "+02:00", ""])
+    stamp = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'07:05:09"), zone)
+    day = F.concat_ws("/", *[F.date_format("o_orderdate", f) for f in ("d", "M", "yyyy")])
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format(to_timestamp(stamp), "yyyy-MM-dd HH:mm:ss").alias("stamp"), text(to_date(day)).alias("day"))
+
+
 @query("text_folding", """
 SELECT p_partkey, upper(p_name) AS folded FROM part
 """)
@@ -758,6 +770,16 @@ def dedupe_agg(spark, sf_dir):
     return kept.select("user_id", "event_type", "event_id", F.round("value", 6).alias("value"))
 
 
+@query("dedupe_expression", """
+SELECT DISTINCT ON (user_id) user_id, event_id, event_type FROM events WHERE value > 1
+ORDER BY user_id, floor(value / 10) DESC NULLS FIRST, nullif(event_type, 'click') ASC NULLS FIRST, event_id
+""")
+def dedupe_expression(spark, sf_dir):
+    """An order of expressions, with commas in them and NULLs placed by name."""
+    order = "floor(value / 10) desc, nullif(event_type, 'click') asc nulls first, event_id"
+    return dedupe.dedupe(table(spark, sf_dir, "events"), "user_id", order, "value > 1").select("user_id", "event_id", "event_type")
+
+
 _REPLACE_SQL = """
 WITH batch AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1998-06-01')
 SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM batch
