@@ -1433,11 +1433,14 @@ def _collections(features: DataFrame, by: str, path: str, gap: str = " ", head:
     """One collection for each value of a column: the features, commas between them, under a head and over a tail."""
     head = F.lit('{"type": "FeatureCollection", "features": [') if head is None else head
     tail = F.lit('], "name": "all"}') if tail is None else tail
-    order = F.row_number().over(Window.partitionBy(by).orderBy("id"))
-    rows = features.withColumn("place", order).select(by, "place", F.concat(F.when(F.col("place") > 1, ", ").otherwise(""), "feature").alias("value"))
-    names = features.select(by).distinct()
-    ends = [names.select(by, F.lit(place).alias("place"), what.alias("value")) for place, what in ((0, head), (2**31 - 1, tail))]
-    rows = rows.unionByName(ends[0]).unionByName(ends[1]).filter("value IS NOT NULL").repartition(by).sortWithinPartitions(by, "place")
+    # Head and tail go with the first and the last feature, in the task that the window gives them: no union of plans that
+    # Spark takes for partitioned alike, and reads in different partitions.
+    order = Window.partitionBy(by).orderBy("id")
+    rows = features.withColumns({"place": F.row_number().over(order), "end": F.lead(F.lit(True)).over(order).isNull()})
+    first, last = F.col("place") == 1, F.col("end")
+    feature = F.concat(F.when(first, "").otherwise(", "), "feature")
+    value = F.concat_ws(gap, F.when(first, head), feature, F.when(last, tail))
+    rows = rows.select(by, "place", value.alias("value")).filter("value <> ''").sortWithinPartitions(by, "place")
     rows.select(by, "value").write.partitionBy(by).option("lineSep", gap).text(path)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from concordat.functions.casts import to_date, to_timestamp
 from concordat.operators.dedupe import dedupe
 from concordat.operators.link import CARRIED, MARK_COLUMN, MARKER, marked
+from concordat.plans.queries import _collections
 from concordat.sources.files import load_resources, read_delimited, read_geojson
 from concordat.sources.raw import ParquetTables
 from concordat.sources.records import open_line, quoted_records
@@ -206,3 +207,23 @@ def test_links_to_areas_without_a_name_are_no_markers(spark):
     rows = [("o1", "a1", *[None] * len(CARRIED), None), (MARKER, MARKER, *[None] * len(CARRIED), datetime.datetime(2021, 1, 1))]
     links = spark.createDataFrame(rows, f"object_id string, com_code string, {carried}, {MARK_COLUMN} timestamp_ntz")
     assert [r["object_id"] for r in links.filter(~marked(links)).collect()] == ["o1"]
+
+
+def test_a_collection_is_one_file_whatever_partitions_are_coalesced(spark, tmp_path):
+    """The rows of a value, its head and its tail differ in size, and so in how Spark puts their partitions together."""
+    rows = spark.range(4000).select("id", (F.col("id") % 7).alias("by"), F.format_string(
+        '{"type":"Feature","properties":{"id":"%d"},"geometry":{"type":"Point","coordinates":[1.0,2.0]}}', "id").alias("feature"))
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k",
+             "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    for name, value in sizes.items():
+        spark.conf.set(name, value)
+    try:
+        _collections(rows, "by", str(tmp_path / "all"))
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)
+    files = sorted((tmp_path / "all").glob("by=*/part-*"))
+    assert [f.parent.name for f in files] == [f"by={i}" for i in range(7)]
+    found = [json.loads(f.read_text()) for f in files]
+    assert [[int(x["properties"]["id"]) for x in c["features"]] for c in found] == [list(range(i, 4000, 7)) for i in range(7)]
+    assert read_geojson(spark, str(tmp_path / "all")).count() == 4000
