@@ -314,7 +314,8 @@ def _union_rows(
     conformed = fold_union(frames).withColumnRenamed("__import_table", "import_table")
 
     own = [c for c in conformed.columns if c != "import_table"]
-    joined = conformed.join(_known_rows(spark, known, target, names), "import_table", "left")
+    # One row for each table, held by the driver already: broadcast, or all rows of an owner would meet in one partition.
+    joined = conformed.join(F.broadcast(_known_rows(spark, known, target, names)), "import_table", "left")
     # A row that no registered table accounts for must not vanish.
     unknown = F.raise_error(F.concat(F.lit("no provenance for table "), F.coalesce("import_table", F.lit("NULL"))))
     table = F.when(F.col("__known"), F.col("import_table")).otherwise(unknown).alias("import_table")

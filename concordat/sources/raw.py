@@ -106,11 +106,11 @@ class ParquetTables:
         return {k: found.get(k) or self.spark.read.parquet(self._path(k)).schema for k in keys}
 
     def _scan(self, keys: Iterable[str], schema: T.StructType) -> DataFrame:
+        # The two folders above a file, cut off without a pattern, which every row would try at each place of a long path.
         # Paths of files come percent-encoded, and a plus in them stands for itself.
-        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-        name = F.regexp_extract(path, r"([^/]+)/([^/]+)/[^/]+$", 1)
-        table = F.regexp_extract(path, r"([^/]+)/([^/]+)/[^/]+$", 2)
-        return self.spark.read.schema(schema).parquet(*map(self._path, keys)).withColumn("import_table", F.concat_ws(".", name, table))
+        folders = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -3), "/", 2)
+        table = F.replace(F.url_decode(F.replace(folders, F.lit("+"), F.lit("%2B"))), F.lit("/"), F.lit("."))
+        return self.spark.read.schema(schema).parquet(*map(self._path, keys)).withColumn("import_table", table)
 
     def open(self, keys: Sequence[str]) -> list[DataFrame]:
         alike: dict[str, list[str]] = defaultdict(list)

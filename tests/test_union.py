@@ -165,3 +165,18 @@ def test_raw_columns_of_other_types(spark, registry, frames, tmp_path):
     by_files, by_frames = (U.union_by_name(spark, registry, t, "can", "eau", TARGET, names=N) for t in (ParquetTables(spark, str(tmp_path)), FrameTables(typed)))
     assert as_rows(by_files) == as_rows(by_frames)
     assert ("s.eau_raw_can_b", "C1", 2) in as_rows(by_files)
+
+
+def test_stored_tables_are_told_by_their_folders(spark, registry, frames, tmp_path):
+    """The cost of a row does not rise with its path, and no row is shuffled to meet what is known of its table."""
+    store = ParquetTables(spark, f"{tmp_path}/100%25 a+b")
+    for name, frame in frames.items():
+        store.write(name, frame)
+    store.write("s.c+d%2Be f", frames["s.eau_raw_can_a"])
+    (odd,) = store.open(["s.c+d%2Be f"])
+    assert [r[0] for r in odd.select("import_table").collect()] == ["s.c+d%2Be f"] * 2
+    done = U.union_by_name(spark, registry, store, "can", "eau", TARGET, names=N)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract" not in plan and "SortMergeJoin" not in plan
+    kept = U.union_by_name(spark, registry, FrameTables(frames), "can", "eau", TARGET, names=N)
+    assert sorted(map(str, done.collect())) == sorted(map(str, kept.collect()))
