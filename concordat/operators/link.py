@@ -132,6 +132,11 @@ def _area_cells(areas: DataFrame, cell: float, level_of: dict[int, int], whole_s
     return cells.withColumn("edges", F.when(F.col("cut"), F.col("edges"))).drop("step", "cut")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """The rows in as many tasks as a shuffle has: a small file of them makes work out of proportion to its bytes."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _measure(cells: DataFrame, whole_shapes: bool) -> int:
     points = F.size(G.vertices(F.col("outline"))) if whole_shapes else 2 * F.greatest(F.size("edges"), F.lit(0))
     found = cells.agg(F.count(F.lit(1)).alias("rows"), F.sum(points).alias("points")).first()
@@ -199,7 +204,7 @@ def link_within(
     # No filter on missing geometry here: it would be pushed down and parse the text a second
     # time, while a missing box makes no cell and a missing place joins with none.
     outlines = (
-        areas.select(area_id, *carry, F.col(area_geometry).alias("outline"))
+        _spread(areas.select(area_id, *carry, F.col(area_geometry).alias("outline")))
         .withColumn("edges", G.edges(F.col("outline")))
         .withColumn("box", F.struct(*[c.alias(n) for n, c in G.bounds(F.col("outline")).items()]))
         .select("*", *[box[n].alias(n) for n in ("xmin", "xmax", "ymin", "ymax")])
@@ -225,11 +230,16 @@ def link_within(
     for whole in ([False, True] if shapes else [False]):
         cells = _area_cells(outlines if whole else outlines.drop("outline"), cell, grid.level_of, whole)
         some = placed.filter(~is_point) if whole else (placed.filter(is_point) if shapes else placed)
+        if whole:
+            some = _spread(some).withColumn("reach", F.struct(*[c.alias(n) for n, c in G.bounds(shape).items()]))
         near = _meet(some if whole else some.drop("shape"), cells, grid.bytes_bound, whole, salts).filter(
             F.col("px").between(F.col("xmin"), F.col("xmax")) & F.col("py").between(F.col("ymin"), F.col("ymax"))
         )
         if whole:
-            near = near.filter(G.contains(F.col("outline"), F.col("shape")))
+            # Shapes that reach beyond the area's box are told without a look at its outline.
+            fits = (F.col("reach.xmax") <= F.col("xmax")) & F.col("reach.ymin").between(F.col("ymin"), F.col("ymax"))
+            fits = fits & (F.col("reach.xmin") >= F.col("xmin")) & (F.col("reach.ymax") <= F.col("ymax"))
+            near = near.filter(fits).filter(G.contains(F.col("outline"), F.col("shape")))
         else:
             near = near.filter(
                 F.col("edges").isNull() | G.strictly_inside(F.col("edges"), F.col("px"), F.col("py"))

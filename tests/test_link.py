@@ -160,3 +160,15 @@ def test_owner_tagging(spark):
     points = objects(spark, [("in", "POINT(0.5 0.5)", T0), ("out", "POINT(5 5)", T0)])
     got = link.tag_perimeter_owner(points, perimeters, "id")
     assert [tuple(r) for r in got.collect()] == [("in", "o1")]
+
+
+def test_shapes_and_areas_of_one_file_are_spread(spark):
+    """Both sides make more work than their bytes tell; shapes beyond an area's box are dropped before the exact test."""
+    areas = wkt_areas(spark, [("a", "POLYGON((0 0,4 0,4 4,0 4,0 0))"), ("b", "POLYGON((3 3,9 3,9 9,3 9,3 3))")]).coalesce(1)
+    rows = [("in", "LINESTRING(1 1,2 2)", T0), ("touches", "LINESTRING(2 2,4 4)", T0), ("leaves", "LINESTRING(2 2,4.5 2)", T0),
+            ("both", "POLYGON((3.2 3.2,3.8 3.2,3.8 3.8,3.2 3.2))", T0), ("point", "POINT(3.5 3.5)", T0), ("none", None, T0)]
+    links = link.link_within(objects(spark, rows).coalesce(1), areas, "id", "geometry", carry=())
+    assert sorted((r["id"], r["com_code"]) for r in links.collect()) == [
+        ("both", "a"), ("both", "b"), ("in", "a"), ("point", "a"), ("point", "b"), ("touches", "a")]
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("RoundRobinPartitioning(8)") == 3  # areas for points, areas for shapes, shapes
