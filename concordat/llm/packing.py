@@ -109,6 +109,12 @@ def pack_group(sizes: list[int], capacity: int) -> list[list[Piece]]:
     return out
 
 
+def id_lists(parts: list[np.ndarray]) -> pa.ListArray:
+    """The ids of each piece as a list, without a Python object for each id."""
+    ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+    return pa.ListArray.from_arrays(ends, np.concatenate(parts).view(np.int32))
+
+
 def pack_documents(
     docs: DataFrame, vocabulary_path: str, capacity: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text",
     with_ids: bool = False,
@@ -143,7 +149,7 @@ def pack_documents(
                 sequence += 1
             columns = [pa.array(c, id_type if i == 0 else pa.int64()) for i, c in enumerate(zip(*rows, strict=True))]
             if with_ids:
-                columns.append(pa.array([p.tolist() for p in ids], pa.list_(pa.int32())))
+                columns.append(id_lists(ids))
             return pa.RecordBatch.from_arrays(columns, names + ["ids"] * with_ids)
 
         for batch in batches:

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -10,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -140,6 +142,16 @@ def test_packing(docs, empty):
     assert pack_documents(empty, VOCABULARY).count() == 0
 
 
+def test_ids_of_pieces_make_no_objects():
+    parts = [np.arange(i, i + 100_000, dtype=np.uint32) for i in range(5)] + [np.empty(0, np.uint32)]
+    tracemalloc.start()
+    lists = packing.id_lists(parts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert lists.to_pylist() == [p.tolist() for p in parts] and lists.type == pa.list_(pa.int32())
+    assert peak < 2 * sum(p.nbytes for p in parts)
+
+
 def test_languages(docs, empty):
     rows = predict_languages(docs, per_language=50, landmarks=20).collect()
     assert len(rows) == len(TEXTS)
