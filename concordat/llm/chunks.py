@@ -6,6 +6,7 @@ import functools
 import json
 import os
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import chain, repeat
 
@@ -16,8 +17,9 @@ import regex
 
 #: Chunks, and words, kept before a cache starts anew: some 100 MB in a worker.
 CACHE_LIMIT = 400_000
+ID_BYTES = array("I").itemsize
 #: Bytes of text cut at a time; a longer text is cut alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Words handed to the library in one call: its cost a word rises with the length of what it is given.
 CALL_WORDS = 200
 #: A text may be put in lower case before it is cut if no mark could join a letter (they start at U+0300) and it holds no
@@ -25,6 +27,11 @@ CALL_WORDS = 200
 _LATER = r"<\||[^\x00-\x{2FF}]"
 
 
+def packed(ids: Sequence[int]) -> bytes:
+    """Ids as unsigned 32-bit integers: a cache of them has no object for each id."""
+    return array("I", ids).tobytes()
+
+
 def slices(texts: pa.Array) -> Iterator[pa.Array]:
     """The texts in order, so many at a time as SLICE_BYTES hold, one at least."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
@@ -38,11 +45,11 @@ def slices(texts: pa.Array) -> Iterator[pa.Array]:
 class ChunkEncoder:
     """Encodes texts for tokenizers whose tokens never span white space.
 
-    Texts are cut at ASCII white space and their distinct chunks looked up; encode_chunks maps new chunks to their ids. Ids
-    live in one flat array; the ids of texts are a gather over their chunks.
+    Texts are cut at ASCII white space and their distinct chunks looked up; encode_chunks maps new chunks to their ids, each
+    chunk's as packed gives them. Ids live in one flat array; the ids of texts are a gather over their chunks.
     """
 
-    def __init__(self, encode_chunks: Callable[[list[str]], list[Sequence[int]]], lower_case: bool = False, limit: int = CACHE_LIMIT):
+    def __init__(self, encode_chunks: Callable[[list[str]], list[bytes]], lower_case: bool = False, limit: int = CACHE_LIMIT):
         self._encode, self._lower_case, self._limit = encode_chunks, lower_case, limit
         self._reset()
 
@@ -53,8 +60,8 @@ class ChunkEncoder:
 
     def _learn(self, new: list[str]) -> None:
         ids = self._encode(new)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // ID_BYTES
+        flat = np.frombuffer(b"".join(ids), np.uint32)
         at, used = len(self._place), self._used
         while used + len(flat) > len(self._flat):
             self._flat = np.concatenate([self._flat, np.empty_like(self._flat)])
@@ -140,9 +147,9 @@ class WordEncoder:
 
     def __init__(self, splitter: WordSplitter, encode_words: Callable[[list[str]], Iterable[list[int]]]):
         self._pieces, self._encode = splitter.pieces, encode_words
-        self._words: dict[str | int, tuple[int, ...]] = {}
+        self._words: dict[str | int, bytes] = {}
 
-    def __call__(self, chunks: list[str]) -> list[Sequence[int]]:
+    def __call__(self, chunks: list[str]) -> list[bytes]:
         pieces = self._pieces
         cut = [(c,) if c.isascii() and c.isalpha() and c.islower() else pieces(c) for c in chunks]
         if len(self._words) > CACHE_LIMIT:
@@ -150,10 +157,9 @@ class WordEncoder:
         known = self._words
         new = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in known]
         words = [p for p in new if isinstance(p, str)]
-        known.update((p, (p,)) for p in new if not isinstance(p, str))
-        known.update(zip(words, map(tuple, self._encode(words)), strict=True))
-        # Tuples of integers, since the collector does not walk them.
-        return [known[pieces[0]] if len(pieces) == 1 else tuple(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in cut]
+        known.update((p, packed([p])) for p in new if not isinstance(p, str))
+        known.update(zip(words, map(packed, self._encode(words)), strict=True))
+        return [known[pieces[0]] if len(pieces) == 1 else b"".join(map(known.__getitem__, pieces)) for pieces in cut]
 
 
 def byte_symbols() -> list[str]:
@@ -177,7 +183,7 @@ def library_encoder(vocabulary_json: str) -> ChunkEncoder:
     suffix = spec["model"].get("end_of_word_suffix")
     if not suffix:
         tokenizer = Tokenizer.from_str(json.dumps(spec))
-        return ChunkEncoder(lambda new: [tokenizer.encode(x, add_special_tokens=False).ids for x in new])
+        return ChunkEncoder(lambda new: [packed(tokenizer.encode(x, add_special_tokens=False).ids) for x in new])
     vocab = spec["model"]["vocab"]
     # Words are normalised, cut and spelled in byte symbols already.
     tokenizer = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}))

@@ -162,6 +162,7 @@ def pack_documents(
                 if len(keys) >= GROUP_PIECES or held >= GROUP_PIECES * capacity:
                     yield group(id_type)
                     keys, texts, held = [], [], 0
+            del batch  # before the next one is read
         if keys:
             yield group(id_type)
 

@@ -28,6 +28,8 @@ WIDTH = 13
 BLOCK_BYTES = 16 << 20
 #: Fingerprints that meet in one task, about; there are at least so many buckets.
 BUCKET_PHRASES, LEAST_BUCKETS = 1 << 20, 512
+#: What a block gives is handed over in parts of so many pieces of its index, or of so many bytes of text, one document at least.
+PART_PIECES, PART_BYTES = 128, 1 << 20
 
 
 def squeeze(keys: np.ndarray) -> bytes:
@@ -41,6 +43,31 @@ def unsqueeze(packed: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
+def distinct(held: list[np.ndarray]) -> np.ndarray:
+    """The different keys, sorted. held is emptied: its arrays go before the keys are sorted in place."""
+    keys = np.concatenate(held)
+    held.clear()
+    keys.sort()
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    return keys[new]
+
+
+def held_before(flat: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Of each key whether it is also there with a smaller rank; ranks do not fall. Only keys that repeat are looked at."""
+    by_key = np.argsort(flat, kind="stable")  # the first of a key has its least rank
+    ordered = flat[by_key]
+    again = np.zeros(len(flat) + 1, bool)
+    np.equal(ordered[1:], ordered[:-1], out=again[1:-1])
+    del ordered
+    many = again[1:] | again[:-1]
+    by_key, new = by_key[many], ~again[:-1][many]
+    ranks = rank[by_key]
+    held = np.zeros(len(flat), bool)
+    held[by_key] = ranks[new][np.cumsum(new) - 1] < ranks
+    return held
+
+
 def factors(held: np.ndarray, width: int = WIDTH) -> list[tuple[int, int]]:
     """(first word, end) of the factors of a document, of which held tells the phrases that a reference holds."""
     steps = np.diff(np.concatenate([[0], held.astype(np.int8), [0]]))
@@ -102,7 +129,7 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     blocks = _blocks(plain.where("doc_id IS NOT NULL"), "reference-blocks")
     bytes_in = plain.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, bytes_in // 6 // BUCKET_PHRASES)
-    shift = 64 - (int(buckets) - 1).bit_length()
+    bits = (int(buckets) - 1).bit_length()
 
     def phrases(text: bytes, hashes: WordHashes) -> np.ndarray:
         return runs(hashes.of(text.split()), width)
@@ -112,23 +139,23 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         hashes, unpack = WordHashes(), zstandard.ZstdDecompressor()
         block, held = None, []
 
-        def flush() -> pa.RecordBatch:
-            keys = np.unique(np.concatenate(held))
-            bucket = (keys >> np.uint64(shift)).astype(np.int64)
-            cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-2))
-            rows = [(int(bucket[a]), block, squeeze(keys[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)]
-            columns = list(zip(*rows, strict=True)) or [[], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["bucket", "block", "keys"])
+        def flush() -> Iterator[pa.RecordBatch]:
+            keys = distinct(held)
+            cuts = [*np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist(), len(keys)]
+            full = [b for b in range(1 << bits) if cuts[b] < cuts[b + 1]]
+            for at in range(0, len(full), PART_PIECES):
+                some = full[at : at + PART_PIECES]
+                pieces = pa.array([squeeze(keys[cuts[b] : cuts[b + 1]]) for b in some], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([block] * len(some), pa.int64()), pieces], ["bucket", "block", "keys"])
 
         for batch in batches:
             for body, own in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 if block is not None and own != block:
-                    yield flush()
-                    held = []
+                    yield from flush()
                 block = own
                 held.append(phrases(unpack.decompress(body.as_py()), hashes))
         if held:
-            yield flush()
+            yield from flush()
 
     def compare(part: pa.Table) -> pa.Table:
         """For each block, its keys of this bucket that an earlier block holds."""
@@ -146,30 +173,33 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def parse(texts: pa.Table, known: pa.Table) -> pa.Table:
         hashes, unpack = WordHashes(), zstandard.ZstdDecompressor()
-        earlier = np.sort(np.concatenate([np.empty(0, np.uint64), *map(unsqueeze, known.column("keys").to_pylist())]))
+        earlier = np.concatenate([np.empty(0, np.uint64), *map(unsqueeze, known.column("keys").to_pylist())])
+        earlier.sort()
         ids, bodies = texts.column("doc_id").to_pylist(), texts.column("body").to_pylist()
+        id_type, rest = texts.schema.field("doc_id").type, texts.column("rest") if carry else None
         order = sorted(range(len(ids)), key=ids.__getitem__)
         own = [phrases(unpack.decompress(bodies[i]), hashes) for i in order]
-        flat = np.concatenate(own) if own else np.empty(0, np.uint64)
-        rank, ranks = -1, []
+        ends = np.cumsum([0, *map(len, own)]).tolist()
+        flat = np.concatenate([np.empty(0, np.uint64), *own])
+        del own
+        ranks = np.cumsum([place > 0 and ids[i] != ids[order[place - 1]] for place, i in enumerate(order)], dtype=np.int32)
+        held = held_before(flat, np.repeat(ranks, np.diff(ends)))
+
+        def part(first: int, rows: list[tuple]) -> pa.Table:
+            return _table(rows, id_type, rest.take(pa.array(order[first : first + len(rows)], pa.int64())) if carry else None)
+
+        parts, rows, size = [], [], 0
         for place, i in enumerate(order):
-            rank += place == 0 or ids[i] != ids[order[place - 1]]
-            ranks.append(rank)
-        rank_of = np.repeat(ranks, [len(x) for x in own])
-        by_key = np.argsort(flat, kind="stable")  # documents are in order, so the first of a key has its least rank
-        new = np.concatenate([[True], flat[by_key][1:] != flat[by_key][:-1]]) if len(flat) else np.empty(0, bool)
-        least = rank_of[by_key][np.maximum.accumulate(np.where(new, np.arange(len(flat)), 0))] if len(flat) else rank_of
-        held = np.zeros(len(flat), bool)
-        held[by_key] = least < rank_of[by_key]
-        if len(earlier):
-            at = np.minimum(np.searchsorted(earlier, flat), len(earlier) - 1)
-            held |= earlier[at] == flat
-        rows, start = [], 0
-        for i, keys in zip(order, own, strict=True):
-            spans = factors(held[start : start + len(keys)], width)
-            start += len(keys)
-            rows.append(_row(ids[i], unpack.decompress(bodies[i]), spans, bool(carry)))
-        return _table(rows, texts.schema.field("doc_id").type, texts.column("rest").take(pa.array(order, pa.int64())) if carry else None)
+            mine, keys = held[ends[place] : ends[place + 1]], flat[ends[place] : ends[place + 1]]
+            if len(earlier):
+                mine |= earlier[np.minimum(np.searchsorted(earlier, keys), len(earlier) - 1)] == keys
+            text = unpack.decompress(bodies[i])
+            rows.append(_row(ids[i], text, factors(mine, width), bool(carry)))
+            size += len(text)
+            if size >= PART_BYTES:
+                parts.append(part(place + 1 - len(rows), rows))
+                rows, size = [], 0
+        return pa.concat_tables([*parts, part(len(order) - len(rows), rows)])
 
     index_rows = blocks.select("body", "block").mapInArrow(index, "bucket bigint, block bigint, keys binary")
     earlier = index_rows.groupBy("bucket").applyInArrow(compare, "block bigint, keys binary")

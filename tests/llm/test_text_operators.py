@@ -1,12 +1,13 @@
 """The text operators on small tables, against brute force and the tokenizers library."""
 
 import hashlib
+import json
 import math
 import random
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
-from itertools import combinations
+from itertools import combinations, product
 from pathlib import Path
 
 import numpy as np
@@ -16,9 +17,9 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from concordat.llm import jaccard, packing, quality, token_files
+from concordat.llm import jaccard, packing, quality, substring_dedup, token_files
 from concordat.llm.bpe import BpeTokenizer, encode_documents
-from concordat.llm.chunks import library_encoder
+from concordat.llm.chunks import ChunkEncoder, WordEncoder, WordSplitter, library_encoder
 from concordat.llm.embed_dedup import near_embeddings
 from concordat.llm.jaccard import jaccard_components, keep_one
 from concordat.llm.langid import keep_languages, predict_languages
@@ -152,6 +153,20 @@ def test_ids_of_pieces_make_no_objects():
     assert peak < 2 * sum(p.nbytes for p in parts)
 
 
+def test_cached_ids_make_no_objects():
+    words = ["".join(w) for w in product("abcdefghijklmnopqrst", repeat=4)][:20_000]
+    place = {w: 70_000 + i for i, w in enumerate(words)}
+    words_of = WordEncoder(WordSplitter(json.loads(CONTENT)), lambda some: ([place[w], place[w] + 1, place[w] + 2] for w in some))
+    tracemalloc.start()
+    found = words_of(words)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(found) == len(words)
+    assert held < 120 * len(words)
+    ids = ChunkEncoder(words_of).encode(" ".join(words[:500]))
+    assert ids.tolist() == [place[w] + i for w in words[:500] for i in range(3)]
+
+
 def test_languages(docs, empty):
     rows = predict_languages(docs, per_language=50, landmarks=20).collect()
     assert len(rows) == len(TEXTS)
@@ -398,6 +413,36 @@ def test_repeated_passages(docs, empty):
     assert duplicate_spans(empty).count() == 0
 
 
+def test_keys_of_a_block_are_held_twice_at_most():
+    keys = np.random.default_rng(1).integers(0, 1 << 62, 400_000, np.uint64)
+    held = [keys[i : i + 1000].copy() for i in range(0, len(keys), 1000)] + [keys[:500].copy()]
+    tracemalloc.start()
+    found = substring_dedup.distinct(held)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not held and (found == np.unique(keys)).all()
+    assert peak < 2.2 * keys.nbytes
+
+
+@pytest.mark.parametrize("kinds", [1, 40, 1 << 40])
+def test_held_before_against_brute_force(kinds):
+    keys = np.random.default_rng(2).integers(0, kinds, 600, np.uint64)
+    rank = np.sort(np.random.default_rng(3).integers(0, 50, len(keys))).astype(np.int32)
+    least = {}
+    for k, r in zip(keys.tolist(), rank.tolist(), strict=True):
+        least.setdefault(k, r)
+    assert substring_dedup.held_before(keys, rank).tolist() == [least[k] < r for k, r in zip(keys.tolist(), rank.tolist(), strict=True)]
+    assert not len(substring_dedup.held_before(keys[:0], rank[:0]))
+
+
+def test_passages_in_many_blocks_and_parts(docs, monkeypatch):
+    whole = Counter(map(str, drop_repeats(docs).collect()))
+    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(substring_dedup, "PART_BYTES", 200)
+    monkeypatch.setattr(substring_dedup, "PART_PIECES", 2)
+    assert Counter(map(str, drop_repeats(docs).collect())) == whole
+
+
 def test_language_model(docs, empty):
     rows = language_model_scores(docs).collect()
     train = [(t or "").encode().lower() for i, t in TEXTS if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
