@@ -14,6 +14,16 @@ from concordat.llm.queries import VOCABULARY
 from concordat.llm.shared import stored
 from concordat.llm.substring_dedup import drop_repeats
 
+#: Rows that go to Python at a time in stages that hand over whole texts beside much else: about 7 MB of them. Of Spark's
+#: own 10,000 rows each task has a buffer of 64 MB outside the heap, and Python another copy.
+TEXT_ROWS, ROWS = 2048, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session hands at most TEXT_ROWS rows to Python at a time; a smaller setting stays."""
+    if not 0 < int(spark.conf.get(ROWS)) <= TEXT_ROWS:
+        spark.conf.set(ROWS, TEXT_ROWS)
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the classifier knows: it has to tell the winner from the second by a margin."""
@@ -32,11 +42,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 13 words or more that an earlier one holds."""
+    small_batches(spark)
     return drop_repeats(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 4096 tokens, with their ids."""
+    small_batches(spark)
     return pack_documents(docs, VOCABULARY, capacity=4096, end_id=2, with_ids=True)
 
 

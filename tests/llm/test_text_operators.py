@@ -443,6 +443,18 @@ def test_passages_in_many_blocks_and_parts(docs, monkeypatch):
     assert Counter(map(str, drop_repeats(docs).collect())) == whole
 
 
+@pytest.mark.parametrize("stage", [corpus_pipeline.passages, corpus_pipeline.packing])
+def test_stages_of_whole_texts_take_small_batches(spark, docs, stage):
+    before = spark.conf.get(corpus_pipeline.ROWS)
+    try:
+        for given, wanted in ((10_000, corpus_pipeline.TEXT_ROWS), (0, corpus_pipeline.TEXT_ROWS), (3, 3)):
+            spark.conf.set(corpus_pipeline.ROWS, given)
+            stage(spark, docs, "")
+            assert int(spark.conf.get(corpus_pipeline.ROWS)) == wanted
+    finally:
+        spark.conf.set(corpus_pipeline.ROWS, before)
+
+
 def test_language_model(docs, empty):
     rows = language_model_scores(docs).collect()
     train = [(t or "").encode().lower() for i, t in TEXTS if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
